@@ -40,8 +40,8 @@ class Limit:
     least: int | None = None
     most: int | None = None
 
-    def broken(self) -> Column:
-        x, d = F.col(self.num) * 1000, F.col(self.den)
+    def broken(self, m: Column) -> Column:
+        x, d = m[self.num] * 1000, m[self.den]
         out = F.lit(False)
         if self.least is not None:
             out = out | (x < self.least * d)
@@ -65,54 +65,67 @@ LIMITS = (
 )
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 RESULT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-INNER = ["_words", "_lines", "_bits", "_grams", "_pairs", "_places"]
 EXTRA = ["n_lines", "n_stop", "n_capitals", "n_marks", "broken"]
 
 
-def measure(df: DataFrame, text: str = "text", limits: tuple[Limit, ...] = LIMITS) -> DataFrame:
-    """All of df's rows with the columns RESULT and EXTRA added; `broken` names the limits that a text breaks."""
-    t = F.coalesce(F.col(text), F.lit(""))
+def let(value: Column, body) -> Column:
+    """body(value), with the value computed once; unlike a column of its own it can't be inlined again by the optimizer."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def metrics(text: Column, limits: tuple[Limit, ...] = LIMITS) -> Column:
+    """A struct of RESULT and EXTRA for a text, as one expression."""
+    t = F.coalesce(text, F.lit(""))
     has_word = lambda line: F.length(F.trim(line, F.lit(" \t\u000b\f\r"))) > 0
     rest = lambda x, k: F.slice(x, F.lit(k), F.size(x))
-    w, s, b, p = (F.col(x) for x in ("_words", "_grams", "_bits", "_pairs"))
-    df = df.withColumns({"_words": words(F.col(text)), "_lines": F.filter(F.split(t, "\n"), has_word)})
-    df = df.withColumn("_bits", F.ceil(F.log2(F.size(w) + 2)).cast("int"))
-    # A window is a long: its hash above, its place in the lowest _bits bits. Sorted, equal windows are neighbours.
-    gram = lambda x, i: F.call_function("shiftleft", F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)), b).bitwiseOR(i)
-    df = df.withColumns(
-        {
-            "_grams": F.sort_array(F.slice(F.transform(w, gram), F.lit(1), F.greatest(F.size(w) - 2, F.lit(0)))),
-            "n_words": F.size(w).cast("long"),
-            "n_stop": F.size(F.filter(w, lambda x: x.isin(STOP_FORMS))).cast("long"),
-            "word_chars": F.length(F.array_join(w, "")).cast("long"),
-            "n_symbols": F.regexp_count(t, F.lit("[#*$%&|<>]")).cast("long"),
-            "n_capitals": F.regexp_count(t, F.lit("[A-Z]")).cast("long"),
-            "n_marks": F.regexp_count(t, F.lit("!")).cast("long"),
-            "n_lines": F.size("_lines").cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        }
-    )
-    place = lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), b) - 1)
-    equal = lambda x, y: F.call_function("shiftrightunsigned", x.bitwiseXOR(y), b) == 0
-    both = F.zip_with(s, rest(s, 2), lambda x, y: F.when(equal(x, y), place(x) * (1 << 31) + place(y)))
-    df = df.withColumn("_pairs", F.array_compact(both))
-    places = F.concat(F.transform(p, lambda x: F.shiftright(x, 31).cast("int")), F.transform(p, lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")))
-    df = df.withColumn("_places", F.sort_array(places))
-    covered = F.zip_with("_places", rest(F.col("_places"), 2), lambda x, y: F.least(F.lit(3), y - x))
-    df = df.withColumn("n_repeat_words", F.aggregate(covered, F.lit(0), lambda acc, x: acc + x).cast("long"))
-    base = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
-    broken = F.array_compact(F.array(*(F.when(x.broken(), F.lit(x.name)) for x in limits)))
-    df = df.withColumns({"base_failed": base, "broken": F.array_join(broken, ",")})
-    return df.withColumn("kept", ~F.col("base_failed") & (F.col("broken") == "")).drop(*INNER)
-
-
-def keep(df: DataFrame, text: str = "text") -> DataFrame:
+    left = lambda x, n: F.call_function("shiftleft", x, n)
+    low = (1 << 31) - 1
+
+    def repeats(w: Column, b: Column) -> Column:
+        # A window is a long: its hash above, its place in the lowest b bits. Sorted, equal windows are neighbours.
+        gram = lambda x, i: left(F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)), b).bitwiseOR(i)
+        place = lambda x: x.bitwiseAND(left(F.lit(1).cast("long"), b) - 1)
+        equal = lambda x, y: F.call_function("shiftrightunsigned", x.bitwiseXOR(y), b) == 0
+        both = lambda s: F.array_compact(F.zip_with(s, rest(s, 2), lambda x, y: F.when(equal(x, y), place(x) * (low + 1) + place(y))))
+        places = lambda p: F.concat(F.transform(p, lambda x: F.shiftright(x, 31)), F.transform(p, lambda x: x.bitwiseAND(F.lit(low))))
+        covered = lambda q: F.zip_with(q, rest(q, 2), lambda x, y: F.least(F.lit(3).cast("long"), y - x))
+        grams = F.sort_array(F.slice(F.transform(w, gram), F.lit(1), F.greatest(F.size(w) - 2, F.lit(0))))
+        total = lambda p: let(F.sort_array(places(p)), lambda q: F.aggregate(covered(q), F.lit(0).cast("long"), lambda acc, x: acc + x))
+        return let(let(grams, both), total)
+
+    def counts(w: Column, lines: Column) -> Column:
+        return F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+            F.regexp_count(t, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
+            (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+            let(F.ceil(F.log2(F.size(w) + 2)).cast("int"), lambda b: repeats(w, b)).alias("n_repeat_words"),
+            F.size(lines).cast("long").alias("n_lines"),
+            F.size(F.filter(w, lambda x: x.isin(STOP_FORMS))).cast("long").alias("n_stop"),
+            F.regexp_count(t, F.lit("[A-Z]")).cast("long").alias("n_capitals"),
+            F.regexp_count(t, F.lit("!")).cast("long").alias("n_marks"),
+        )
+
+    def judged(m: Column) -> Column:
+        base = (m["n_words"] < MIN_WORDS) | (m["n_repeat_words"] * 100 > m["n_words"] * MAX_REPEAT_PERCENT)
+        broken = F.array_join(F.array_compact(F.array(*(F.when(x.broken(m), F.lit(x.name)) for x in limits))), ",")
+        return F.struct(*(m[c].alias(c) for c in (*RESULT, *EXTRA) if c not in ("base_failed", "kept", "broken")), base.alias("base_failed"), broken.alias("broken"))
+
+    lines = F.filter(F.split(t, "\n"), has_word)
+    return let(let(words(text), lambda w: let(lines, lambda x: counts(w, x))), judged)
+
+
+def measure(df: DataFrame, text: str = "text", limits: tuple[Limit, ...] = LIMITS) -> DataFrame:
+    """All of df's rows with the columns RESULT and EXTRA added; `broken` names the limits that a text breaks."""
+    m = F.col("_metrics")
+    df = df.withColumn("_metrics", metrics(F.col(f"`{text}`"), limits))
+    values = {c: m[c] for c in (*RESULT, *EXTRA) if c != "kept"} | {"kept": ~m["base_failed"] & (m["broken"] == "")}
+    return df.withColumns(values).drop("_metrics")
+
+
+def keep(df: DataFrame, text: str = "text", limits: tuple[Limit, ...] = LIMITS) -> DataFrame:
     """The rows of df whose text passes, with df's own columns."""
-    clash = [c for c in df.columns if c in {*RESULT, *EXTRA, *INNER}]
-    if clash:
-        held = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), F.col(f"`{text}`").alias("_text"))
-        return measure(held, "_text").filter("kept").select("_row.*")
-    return measure(df, text).filter("kept").select(*(F.col(f"`{c}`") for c in df.columns))
+    return df.filter(let(metrics(F.col(f"`{text}`"), limits), lambda m: ~m["base_failed"] & (m["broken"] == "")))
 
 
 def oracle(limits: tuple[Limit, ...] = LIMITS) -> str:
