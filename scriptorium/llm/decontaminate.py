@@ -148,4 +148,4 @@ def matches(
 def keep(df: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """df's rows, all columns, of documents without a match."""
     found = matches(df, items, doc_id, text).select(F.col("doc_id").alias("_found")).distinct()
-    return df.join(found, F.col(f"`{doc_id}`") == F.col("_found"), "left_anti")
+    return df.join(found, df[doc_id] == found["_found"], "left_anti")

@@ -200,6 +200,6 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 
 def keep(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """df's rows and columns with one document of each class, that of the least id (all its repeated rows collapse to one)."""
+    """df's rows and columns with one document of each class, that of the least id (its repeated rows collapse to one; rows without an id go)."""
     kept = classes(df, doc_id, text).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return df.join(kept, F.col(f"`{doc_id}`") == F.col("_kept"), "left_semi").dropDuplicates([doc_id])
+    return df.join(kept, df[doc_id] == kept["_kept"], "left_semi").dropDuplicates([doc_id])
