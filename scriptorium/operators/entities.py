@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
+from collections.abc import Iterator
+from functools import reduce
+from itertools import combinations
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..llm.common import Scratch, map_rows
+
 STOP = "Le La Les Un Une Des Du De Au Aux En Par Pour Sur Avec Dans Que Qui Ce Il Elle Ils Elles Nous Vous Leur Leurs Institut Article Seance Session Rapport Commission Projet Comite Membre Membres Monsieur Messieurs Madame".split()
 CAPITALISED = "(?U)\\b([A-ZÀÂÄÉÈÊËÎÏÔÖÙÛÜŸÆŒ][a-zA-ZÀ-ÿ-]{3,})\\b"
 LABELS = ("PERSON", "ORG", "LIEU", "DATE", "ACTE", "EVENT", "CONCEPT")
@@ -51,44 +59,118 @@ def ratio(a: str, b: str) -> float:
     return 200.0 * (len(a) - s.bit_count()) / (len(a) + len(b))
 
 
+#: Pairs of bare tokens of up to this length meet at a common subsequence, longer ones at a common segment.
+SHORT = 16
+
+
+def overlap(m: int, n: int, least: float) -> int:
+    """The shortest common subsequence with which two strings of these lengths reach the least ratio."""
+    common = max(0, math.ceil(least * (m + n) / 200.0) - 1)
+    while 200.0 * common / (m + n) < least:
+        common += 1
+    return common
+
+
+def meeting_keys(s: str, lengths: list[int], least: float) -> Iterator[tuple[str, int]]:
+    """(key, side) such that two strings reach the least ratio only if a key of one on side 0 is one of the other's on side 1 (side 2 meets
+    itself: equal lengths within SHORT). Within SHORT the key is a common subsequence of the needed length, which proves the ratio. Beyond,
+    the longer string is cut into one segment more than there may be insertions and deletions, so that one segment is left whole."""
+    for other in lengths:
+        m, n = sorted((len(s), other))
+        common = overlap(m, n, least)
+        if common > m:
+            continue
+        side = 2 if m == n else int(len(s) == n)
+        if n <= SHORT:
+            for sub in {"".join(c) for c in combinations(s, common)}:
+                yield f"{m} {n} -1 {sub}", side
+            continue
+        edits = m + n - 2 * common
+        if edits >= n:  # no whole segment is sure
+            yield f"{m} {n} -2 ", side
+            continue
+        cuts = [n * k // (edits + 1) for k in range(edits + 2)]
+        for k in range(edits + 1):
+            start, size = cuts[k], cuts[k + 1] - cuts[k]
+            shifts = (e for e in range(-edits, edits + 1) if abs(e) + abs(m - n - e) <= edits)
+            if len(s) == n:
+                yield f"{m} {n} {k} {s[start : start + size]}", 1
+            if len(s) == m:
+                seen = {s[start + e : start + e + size] for e in shifts if 0 <= start + e <= m - size}
+                yield from ((f"{m} {n} {k} {sub}", 0) for sub in seen)
+
+
+def near_pairs(bare_tokens: DataFrame, least: float, scratch: Scratch) -> DataFrame:
+    """(ra, rb), ra < rb, of all (rank, bare) rows whose ratio reaches the least."""
+    lengths = sorted(r[0] for r in bare_tokens.select(F.length("bare")).distinct().collect())
+
+    def make():
+        return lambda rank, s: [(key, side, rank, s if int(key.split(" ", 3)[2]) != -1 else None) for key, side in meeting_keys(s, lengths, least)]
+
+    schema = pa.schema([("key", pa.string()), ("side", pa.int32()), ("rank", pa.int64()), ("bare", pa.string())])
+    keyed = scratch.save(map_rows(bare_tokens, ["rank", "bare"], schema, "key string, side int, rank long, bare string", make))
+    a, b = keyed.filter("side IN (0, 2)").alias("a"), keyed.filter("side IN (1, 2)").alias("b")
+    met = a.join(b, F.col("a.key") == F.col("b.key")).filter("a.rank <> b.rank AND (a.side <> 2 OR a.rank < b.rank)")
+    met = met.select(F.least("a.rank", "b.rank").alias("ra"), F.greatest("a.rank", "b.rank").alias("rb"), F.col("a.bare").alias("x"), F.col("b.bare").alias("y"))
+
+    @F.pandas_udf("double")
+    def score(x, y):
+        return pd.Series([ratio(p, q) for p, q in zip(x, y, strict=True)], dtype="float64")
+
+    proved = met.filter("x IS NULL").select("ra", "rb")
+    scored = met.filter("x IS NOT NULL").dropDuplicates(["ra", "rb"]).filter(score("x", "y") >= least).select("ra", "rb")
+    return scratch.save(proved.union(scored).distinct())
+
+
+def greedy(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """(rank, pivot_rank): each token, by rising rank, joins its first pivot or becomes one. A token without an undecided one before it
+    is a pivot and takes its neighbours out; a round does so for all such tokens at once, which gives the sequential result."""
+    left, gone = edges, []
+    while not left.isEmpty():
+        pivots = left.select("ra").distinct().join(left.select(F.col("rb").alias("ra")), "ra", "left_anti")
+        gone.append(scratch.save(left.join(pivots, "ra", "left_semi").select(F.col("rb").alias("ra")).distinct()))
+        left = left.join(gone[-1], "ra", "left_anti").join(gone[-1].withColumnRenamed("ra", "rb"), "rb", "left_anti")
+        left = scratch.save(left.select("ra", "rb"))
+    taken = reduce(DataFrame.union, gone, edges.select("ra").limit(0))
+    # whoever was never taken is a pivot, even if all its edges went before its turn
+    return edges.join(taken, "ra", "left_anti").groupBy(F.col("rb").alias("rank")).agg(F.min("ra").alias("pivot_rank"))
+
+
+def ranked(toks: DataFrame, scratch: Scratch) -> DataFrame:
+    """toks with `rank` from 1 by falling n, then first, then token; sorted by ranges, not in one partition."""
+    order = [F.desc("n"), F.col("first"), F.col("token")]
+    parts = int(toks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = scratch.save(toks.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()))
+    part, offset, offsets = F.shiftright("at", 33), 0, {}
+    for r in sorted(placed.groupBy(part.alias("part")).count().collect()):
+        offsets[r[0]] = offset
+        offset += r[1]
+    before = F.create_map(*(F.lit(x).cast("long") for kv in offsets.items() for x in kv))[part] if offsets else F.lit(0)
+    return placed.withColumn("rank", before + F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("at")
+
+
 def clusters(found: DataFrame, least: float = 85.0) -> DataFrame:
-    """ENT3: (cluster, pivot, token, score, n). Pairs are scored where a bound on the length lets them reach the least score, blocked
-    by length and shared character pairs; then tokens join, by falling frequency, the first cluster whose pivot is near enough."""
-    import pandas as pd
+    """ENT3: (cluster, pivot, token, score, n). Tokens join, by falling frequency, the first cluster whose pivot is near enough. Tokens
+    with the same bare form share the lot of the first of them, so near pairs are looked for among distinct bare forms."""
+    scratch = Scratch(found.sparkSession, "clusters")
 
     @F.pandas_udf("string")
     def plain(s):
         return s.map(bare)
 
-    toks = found.withColumn("bare", plain("token")).withColumn("rank", F.row_number().over(W.orderBy(F.desc("n"), "first", "token")))
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("bare") - 1, F.lit(1))), lambda i: F.substring("bare", i, F.lit(2))))
-    keyed = toks.select("rank", "bare", F.explode(grams).alias("gram"))
-    a, b = keyed.alias("a"), keyed.alias("b")
-    near = (F.col("a.gram") == F.col("b.gram")) & (F.col("a.rank") < F.col("b.rank"))
-    pairs = a.join(b, near).filter(200.0 * F.least(F.length("a.bare"), F.length("b.bare")) >= least * (F.length("a.bare") + F.length("b.bare")))
-    pairs = pairs.select(F.col("a.rank").alias("ra"), F.col("a.bare").alias("x"), F.col("b.rank").alias("rb"), F.col("b.bare").alias("y")).distinct()
-
     @F.pandas_udf("double")
     def score(x, y):
-        return pd.Series([ratio(p, q) for p, q in zip(x, y, strict=True)])
-
-    edges = pairs.withColumn("score", score("x", "y")).filter(F.col("score") >= least).select("ra", "rb", "score", F.lit(0).alias("one"))
-
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        pivots, rows = set(pdf["ra"]) - set(pdf["rb"]), []
-        by = {r: sorted(zip(g["ra"], g["score"], strict=True)) for r, g in pdf.groupby("rb")}
-        for r in sorted(by):
-            home = next(((p, s) for p, s in by[r] if p in pivots), None)
-            if home is None:
-                pivots.add(r)
-            else:
-                rows.append((home[0], r, home[1]))
-        return pd.DataFrame(rows, columns=["pivot_rank", "rank", "score"])
-
-    joined = edges.groupBy("one").applyInPandas(greedy, "pivot_rank int, rank int, score double")
-    members = joined.union(joined.select("pivot_rank", F.col("pivot_rank").alias("rank"), F.lit(100.0)).distinct())
-    named = members.join(toks.select("rank", "token", "n"), "rank").join(toks.select(F.col("rank").alias("pivot_rank"), F.col("token").alias("pivot")), "pivot_rank")
-    return named.select(F.col("pivot_rank").alias("cluster"), "pivot", "token", "score", "n")
+        return pd.Series([ratio(p, q) for p, q in zip(x, y, strict=True)], dtype="float64")
+
+    toks = scratch.save(ranked(found.withColumn("bare", plain("token")), scratch))
+    forms = scratch.save(toks.groupBy("bare").agg(F.min("rank").alias("rank")))
+    homes = scratch.save(greedy(near_pairs(forms, least, scratch), scratch))
+    lot = forms.join(homes, "rank", "left").select("bare", F.coalesce("pivot_rank", "rank").alias("pivot_rank"))
+    members = toks.join(lot, "bare")
+    several = members.groupBy("pivot_rank").count().filter("count > 1").select("pivot_rank")
+    heads = toks.select(F.col("rank").alias("pivot_rank"), F.col("token").alias("pivot"), F.col("bare").alias("pivot_bare"))
+    named = members.join(several, "pivot_rank").join(heads, "pivot_rank")
+    return named.select(F.col("pivot_rank").cast("int").alias("cluster"), "pivot", "token", score("bare", "pivot_bare").alias("score"), "n")
 
 
 def batches(rows: DataFrame, order: str, size: int = 40) -> DataFrame:

@@ -301,12 +301,12 @@ def ent1(spark, d):
 
 @query("ent3_clusters")
 def ent3(spark, d):
-    return E.clusters(E.capital_tokens(table(spark, d, "documents")).filter("n >= 20"))
+    return E.clusters(E.capital_tokens(table(spark, d, "documents")))
 
 
 @query("ent6_candidates")
 def ent6(spark, d):
-    return E.candidates(E.clusters(E.capital_tokens(table(spark, d, "documents")).filter("n >= 20")))
+    return E.candidates(E.clusters(E.capital_tokens(table(spark, d, "documents"))))
 
 
 @query("ent8_corrections", f"SELECT doc_id, CAST({_count('(?:^|[^a-zA-ZÀ-ÿ0-9_])Belgique')} AS INT) AS n_substitutions, md5(regexp_replace(text, '(^|[^a-zA-ZÀ-ÿ0-9_])Belgique', '\\1Royaume', 'g')) AS digest FROM ({noise.sql()})")

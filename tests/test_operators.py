@@ -1,11 +1,14 @@
 import math
+import random
 
 from pyspark.sql import functions as F
 
+from scriptorium.llm.common import Scratch
 from scriptorium.operators import entities as E
 from scriptorium.operators import lexicon as L
 from scriptorium.operators import statistics as S
 from scriptorium.operators import structure as X
+from scriptorium.plans.catalog import QUERIES
 
 
 def lexicon(spark, *forms):
@@ -57,6 +60,49 @@ def test_clusters(spark):
     assert got == {("Bluntschli", "Bluntschli"), ("Bluntschli", "Bluntschll"), ("Mancini", "Mancini"), ("Mancini", "Manciui")}
 
 
+def brute_clusters(counted):
+    """The reference's greedy; counted: (token, n) by falling n, ties by first occurrence."""
+    made = []
+    for token, n in counted:
+        home = next((c for c in made if E.ratio(E.bare(token), E.bare(c[0][0])) >= 85), None)
+        if home is None:
+            made.append([(token, 100.0, n)])
+        else:
+            home.append((token, E.ratio(E.bare(token), E.bare(home[0][0])), n))
+    return {(c[0][0], *row) for c in made if len(c) > 1 for row in c}
+
+
+def test_clusters_are_the_greedy_of_rare_and_long_tokens(spark):
+    rnd, forms = random.Random(3), []
+    for _ in range(60):
+        root = "".join(rnd.choice("abeéio") for _ in range(rnd.randrange(4, 30)))
+        for _ in range(6):
+            chars = list(root)
+            for _ in range(rnd.randrange(1 + len(chars) // 5)):
+                at = rnd.randrange(len(chars))
+                chars[at : at + 1] = rnd.choice(["", rnd.choice("abeio"), chars[at] + rnd.choice("abeio")])
+            forms.append(("".join(chars) or "a").capitalize())
+            forms.append(forms[-1].upper())
+    rows = [(t, rnd.randrange(1, 4), k) for k, t in enumerate(dict.fromkeys(forms))]
+    found = spark.createDataFrame(rows, "token string, n long, first long")
+    got = {(r.pivot, r.token, r.score, r.n) for r in E.clusters(found).collect()}
+    assert got == brute_clusters([(t, n) for t, n, _ in sorted(rows, key=lambda r: (-r[1], r[2]))])
+    assert max(len(t) for _, t, *_ in got) > E.SHORT
+
+
+def test_greedy_keeps_a_pivot_whose_neighbours_go_first(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 5), (4, 5)], "ra long, rb long")
+    assert {tuple(r) for r in E.greedy(edges, Scratch(spark, "test")).collect()} == {(2, 1), (5, 3)}
+
+
+def test_cluster_queries_take_every_token(spark, tmp_path):
+    text = "Bluntschli und Bluntschll. Mancini et Manciui, Mancini. Asser Bluntschli"
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = brute_clusters([("Bluntschli", 2), ("Mancini", 2), ("Bluntschll", 1), ("Manciui", 1), ("Asser", 1)])
+    assert {(r.pivot, r.token, r.score, r.n) for r in QUERIES["ent3_clusters"](spark, str(tmp_path)).collect()} == want
+    assert {(r.forme_retenue, r.variantes, r.nb_occurrences) for r in QUERIES["ent6_candidates"](spark, str(tmp_path)).collect()} == {("Bluntschli", "Bluntschll", 3), ("Mancini", "Manciui", 3)}
+
+
 def test_corrections_quote_their_replacement(spark):
     df = spark.createDataFrame([("Manciui et Manciuis",)], "text string")
     row = E.apply_corrections(df, [("Manciui", "Man$cini\\")]).first()
