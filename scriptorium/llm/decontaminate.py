@@ -7,18 +7,21 @@ pieces finds the exact hits in one walk of each text; each hit gives a window of
 Myers' bit-parallel algorithm checks whether the item ends in that window within the budget.
 
 The benchmark is the stated query set: it is read in blocks of bounded size, and each block's
-automaton is built in the tasks. No join, no shuffle of texts.
+automaton is built in the tasks. No join, no shuffle: `keep` decides in the scan, row by row.
 
 Defined cases: null texts and items count as empty and never match; items that fold to nothing
 are skipped; equal items each report their own id; a document that holds an item several times
-gives one row with the least distance (first such place); repeated rows and ids each give
-their rows; empty tables give an empty result; other columns are ignored by `matches` and kept by `keep`.
+gives one row with the least distance (the end of the first such place that was checked);
+very long texts are walked once, and only windows around piece hits are compared;
+repeated rows and ids, also null ones, each give their rows; empty tables give an empty result;
+other columns, whatever their names, are ignored by `matches` and kept by `keep`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -145,7 +148,20 @@ def matches(
     return out
 
 
-def keep(df: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """df's rows, all columns, of documents without a match."""
-    found = matches(df, items, doc_id, text).select(F.col("doc_id").alias("_found")).distinct()
-    return df.join(found, df[doc_id] == found["_found"], "left_anti")
+def keep(df: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", percent: int = ERRORS_PERCENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """df's rows, all columns, whose text holds no test item: a filter for each block of the query set, whatever the ids are."""
+    for block in blocks(items, item_id, item_text, block_bytes):
+        df = df.filter(clean(block, percent)(F.col(f"`{text}`")))
+    return df
+
+
+def clean(block: list[tuple[int, str]], percent: int):
+    """Whether a text holds none of the block's items."""
+
+    @F.pandas_udf("boolean")
+    def check(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        matcher = Matcher(block, percent)
+        for part in parts:
+            yield part.map(lambda t: next(matcher.matches(t), None) is None).astype(bool)
+
+    return check

@@ -10,12 +10,18 @@ the full Hamming distance.
 Scale: only distinct fingerprints take part (copies collapse in a partial aggregation). Within
 a key no pair list is made: a search that compares with unreached fingerprints alone gives the
 trees of the key's near groups, at most one edge for each fingerprint, so that a group of
-copies that share a key costs about its own size. Components are joined by large-star and
-small-star steps on written tables; nothing goes to the driver but three numbers a step.
+copies that share a key costs about its own size. A key with more than GROUP fingerprints is
+searched by a fourth segment: of the five segments left at least one agrees, too. Components are
+joined by large-star and small-star steps on written tables; nothing goes to the driver but three
+numbers a step. Joins on a hub, a component or a fingerprint go through `join_skewed`, so that a
+component or a text of very many rows doesn't land in one task.
 
 Defined cases: null and blank texts have fingerprint zero and link like others; texts of fewer
-than four words are one shingle; repeated rows and ids each keep a row; an empty table gives
-an empty result; other columns are ignored by `classes`, kept by `keep`.
+than four words are one shingle; very long texts are counted whole, in slices of 65,536 shingles;
+repeated rows and ids each keep a row in `classes`; a class without any id has a null
+component_id; an empty table gives an empty result; other columns, whatever their names, are
+ignored by `classes` and kept by `keep`. `keep` chooses rows, not ids: rows without an id and rows
+that share an id are members of their own text's class, and one row of each class stays.
 """
 
 from __future__ import annotations
@@ -26,9 +32,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, map_rows
+from .common import Scratch, join_skewed, map_rows
 
-SEED, SHINGLE, BITS, SEGMENT = 42, 4, 4, 8
+SEED, SHINGLE, BITS, GROUP = 42, 4, 4, 4096
 #: Offsets of the two other agreeing segments, from the chain budgets l/2.
 PLACES = ((1, 2), (1, 3), (1, 4), (2, 3), (2, 4))
 FULL = (1 << 64) - 1
@@ -84,9 +90,18 @@ def near(diff: np.ndarray, start) -> np.ndarray:
     return ok
 
 
-def trees(values: np.ndarray, start: int) -> list[tuple[int, int]]:
-    """Edges from the least member of each near group to the others."""
+def trees(values: np.ndarray, start: int, most: int = GROUP) -> list[tuple[int, int]]:
+    """Edges from the least member of each near group to the others (for more than `most` values, of the groups within each value of a segment)."""
     left, edges = np.arange(len(values)), []
+    if len(values) > most:
+        for segment in range(8):
+            byte = values >> np.uint64(8 * segment) & np.uint64(255)
+            order = np.argsort(byte, kind="stable")
+            cuts = np.flatnonzero(np.diff(byte[order])) + 1
+            if len(cuts):  # else it agrees in all of them
+                for part in np.split(order, cuts):
+                    edges += trees(values[part], start, len(part))
+        return edges
     while len(left) > 1:
         root, queue, reached = left[0], [left[0]], []
         left = left[1:]
@@ -157,14 +172,14 @@ def links(distinct: DataFrame) -> DataFrame:
     return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(edges_of_keys, "a long, b long").distinct()
 
 
-def star(edges: DataFrame, large: bool) -> DataFrame:
-    """One large-star or small-star step; edges: (a, b), any order, no loops."""
+def star(edges: DataFrame, large: bool, rows: int) -> DataFrame:
+    """One large-star or small-star step; edges: (a, b), any order, no loops, `rows` of them."""
     if large:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    joined = both.join(least, "a")
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("c"))
+    joined = join_skewed(both, least, ["a"], rows)
     moved = joined.filter("b > a" if large else "b <> m").select(F.col("b").alias("x"), "m")
     if not large:
         moved = moved.union(least.select(F.col("a").alias("x"), "m"))
@@ -176,9 +191,11 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     state = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
     now = scratch.save(edges)
     said = state(now)
-    while True:
-        then = scratch.save(star(star(now, True), False))
+    while said[0]:
+        half = scratch.save(star(now, True, said[0]))
+        then = scratch.save(star(half, False, half.count()))
         scratch.drop(now)
+        scratch.drop(half)
         now, before, said = then, said, state(then)
         if said == before:
             break
@@ -186,20 +203,50 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     return roots.union(now.select(F.col("b"), F.col("b")).distinct())
 
 
+def rooted(docs: DataFrame, scratch: Scratch, *best) -> DataFrame:
+    """docs (with a fingerprint fp, written) with the aggregates `best` over each row's class; these take columns of docs or of their own kind over groups."""
+    distinct = scratch.save(docs.groupBy("fp").agg(F.count("*").alias("c"), *(f(F.col(x)).alias(x) for f, x in best)))
+    roots = components(links(distinct.select("fp")), scratch)
+    linked = scratch.save(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    of_root = scratch.save(linked.groupBy("root").agg(F.count("*").alias("c"), *(f(F.col(x)).alias(f"best_{x}") for f, x in best)))
+    of_fp = join_skewed(linked.select("fp", "root", F.col("c").alias("n")), of_root, ["root"], linked.count())
+    of_fp = scratch.save(of_fp.select("fp", F.col("n").alias("c"), *(f"best_{x}" for _, x in best)))
+    return join_skewed(docs, of_fp, ["fp"], docs.count())
+
+
 def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) for each row; component_id: least doc_id that links lead to."""
     scratch = Scratch(df.sparkSession, "simhash")
     docs = scratch.save(fingerprints(df, doc_id, text))
-    distinct = docs.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(distinct.select("fp")), scratch)
-    linked = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = linked.select("fp", "root").join(least, "root").select("fp", "component_id")
-    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return docs.join(of_fp, "fp").select("doc_id", hexed, "component_id")
+    found = rooted(docs, scratch, (F.min, "doc_id"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("best_doc_id").alias("component_id"))
 
 
 def keep(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """df's rows and columns with one document of each class, that of the least id (its repeated rows collapse to one; rows without an id go)."""
-    kept = classes(df, doc_id, text).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return df.join(kept, df[doc_id] == kept["_kept"], "left_semi").dropDuplicates([doc_id])
+    """df's rows and columns with one row of each class: the least id (nulls last), then the least hash of the text.
+
+    The keys (id, hash of the text) of rows that go are written, and the texts are filtered against them; Spark
+    broadcasts these keys where their written size allows and shuffles otherwise. Only rows that repeat both id and
+    text of a row that stays are grouped.
+    """
+    scratch = Scratch(df.sparkSession, "simhash-keep")
+    i, t = F.col(f"`{doc_id}`").cast("long"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    key = F.struct(i.isNull().alias("none"), i.alias("i"), t.alias("t")).alias("key")
+
+    def make():
+        return lambda none, i, t, s: [(none, i, t, (f := fingerprint(s)) - ((f >> 63) << 64))]
+
+    schema = pa.schema([("none", pa.bool_()), ("i", pa.int64()), ("t", pa.int64()), ("fp", pa.int64())])
+    slim = df.select(key, F.col(f"`{text}`").alias("s")).select("key.none", "key.i", "key.t", "s")
+    slim = map_rows(slim, ["none", "i", "t", "s"], schema, "none boolean, i long, t long, fp long", make)
+    slim = scratch.save(slim.select(F.struct("none", "i", "t").alias("key"), "fp"))
+    found = rooted(slim, scratch, (F.min, "key"))
+    n = found.groupBy("key").agg(F.count("*").alias("n"), F.max(F.col("key") == F.col("best_key")).alias("stays"))
+    gone = scratch.save(n.filter("n > 1 OR NOT stays").select(F.col("key.i").alias("_i"), F.col("key.t").alias("_t"), F.expr("stays").alias("_again")))
+    same = lambda x: i.eqNullSafe(x["_i"]) & (t == x["_t"])
+    kept_once, repeats = gone.select("_i", "_t"), gone.filter("_again").select("_i", "_t")
+    once = df.join(kept_once, same(kept_once), "left_anti")
+    again = df.join(repeats, same(repeats), "left_semi")
+    first = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
+    again = again.groupBy(i.alias("_i"), t.alias("_t")).agg(F.first(first).alias("row")).select("row.*")
+    return once.unionByName(again)

@@ -3,9 +3,10 @@
 Suffix buckets. A window is LENGTH bytes from one start. The key of a window is the least hash
 of its GRAM-byte strings, so equal windows have equal keys wherever they are; a maximal range of
 starts with one key is a run, about one for each 135 bytes of text. A key seen in one run only
-has no repeats. Runs whose whole byte strings are equal (same key and second hash: 128 bits) are repeats
+has no repeats. Runs whose whole byte strings have the same 128-bit BLAKE2b digest are repeats
 without sorting. What is left are keys with runs that differ: one run of each distinct
-string goes to the sorter, bucket by bucket, a bounded number of bytes at a time.
+string goes to the sorter, bucket by bucket, a bounded number of bytes at a time. Two strings
+may share a key by chance: that costs a comparison and changes no result.
 
 Sorting a block. Starts are sorted by their first 31 bytes. Ties are resolved by ranks of the
 block's cover sample: positions whose residue modulo 31 is in a difference cover, ranked over
@@ -14,12 +15,15 @@ sample, so one lookup compares them; a ternary quicksort does this for all tied
 Neighbours in that order that agree in LENGTH bytes are repeats.
 
 A key whose differing runs exceed HOT_BYTES (one passage in very many contexts) isn't sorted in
-one task: its windows are counted by 128-bit hashes in a distributed aggregation instead.
+one task: its windows are counted by 128-bit BLAKE2b digests in a distributed aggregation
+instead, with the same result. Joins on a key go through `join_skewed`, so that a passage of
+very many documents doesn't land in one task.
 
 Defined cases: a null text counts as empty; texts under LENGTH bytes lose nothing; repeated rows
 count as documents of their own, so their bytes (from LENGTH on) are removed in each; an empty
 table gives an empty result; very long texts are cut into pieces of PIECE window starts without
-losing windows; rows are told apart by (doc_id, hash of the text); other columns are ignored.
+losing windows; rows are told apart by (doc_id, hash of the text); other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -31,9 +35,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, join_skewed, to_batch
 
-LENGTH, GRAM, PIECE, BLOCK_BYTES, HOT_BYTES = 400, 128, 1 << 19, 3 << 20, 8 << 20
+LENGTH, GRAM, PIECE, BLOCK_BYTES, HOT_BYTES = 400, 128, 1 << 19, 3 << 20, 4 << 20
 V, COVER = 31, (1, 5, 11, 24, 25, 27)
 
 
@@ -86,42 +90,48 @@ def sliding_least(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(tail[: n - w + 1], head[w - 1 : n])
 
 
-def runs(data: np.ndarray, first: Hasher, second: Hasher):
-    """(key, hash, start, starts, twice) arrays of a text's runs; twice: the key's string occurs more than once in the run."""
+def digests(data: memoryview, starts: list[int], ends: list[int]) -> np.ndarray:
+    """[range, 2]: 128-bit digests of byte ranges."""
+    blake = hashlib.blake2b
+    return np.frombuffer(b"".join([blake(data[s:e], digest_size=16).digest() for s, e in zip(starts, ends, strict=True)]), np.int64).reshape(-1, 2)
+
+
+def runs(data: np.ndarray, hasher: Hasher):
+    """(key, digests, start, starts, twice) arrays of a text's runs; twice: the key's string occurs more than once in the run."""
     w = LENGTH - GRAM + 1
     for at in range(0, max(0, len(data) - LENGTH + 1), PIECE):
         part = data[at : at + PIECE + LENGTH - 1]
-        p = first.prefix(part)
+        p = hasher.prefix(part)
         n = len(part) - GRAM + 1
-        grams = first.of(p, slice(0, n), slice(GRAM, GRAM + n))
+        grams = hasher.of(p, slice(0, n), slice(GRAM, GRAM + n))
         least = sliding_least(grams, w)
         starts = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1))
         count = np.diff(np.append(starts, len(least)))
         key = least[starts]
-        h = second.of(second.prefix(part), starts, starts + count + LENGTH - 1) + count.astype(np.uint64)
+        h = digests(memoryview(part), starts.tolist(), (starts + count + LENGTH - 1).tolist())
         twice = [int(np.count_nonzero(grams[s : s + c + w - 1] == k)) > 1 for s, c, k in zip(starts.tolist(), count.tolist(), key, strict=True)]
-        yield key, h, starts + at, count, np.array(twice, bool)
+        yield key.view(np.int64), h, starts + at, count.astype(np.int32), np.array(twice, bool)
 
 
-RUN_DDL = "doc_id long, th long, key long, h long, start long, n int, twice boolean"
+RUN_DDL = "doc_id long, th long, key long, h long, g long, start long, n int, twice boolean"
 
 
 def all_runs(batches):
     """(doc_id, th, text) -> runs."""
-    first, second = Hasher(1), Hasher(2)
+    hasher = Hasher(1)
     for batch in batches:
         ids, hashes, texts = batch.column(0), batch.column(1).to_numpy(), batch.column(2)
         parts, rows, size = [], [], 0
 
         def out():
-            columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+            key, h, start, count, twice = (np.concatenate(c) for c in zip(*parts, strict=True))
             row = np.repeat([r for r, _ in rows], [n for _, n in rows])
-            arrays = [ids.take(pa.array(row)), pa.array(hashes[row]), pa.array(columns[0].view(np.int64)), pa.array(columns[1].view(np.int64)), pa.array(columns[2]), pa.array(columns[3].astype(np.int32)), pa.array(columns[4])]
-            return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "th", "key", "h", "start", "n", "twice"])
+            arrays = [ids.take(pa.array(row)), *map(pa.array, (hashes[row], key, h[:, 0].copy(), h[:, 1].copy(), start, count, twice))]
+            return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "th", "key", "h", "g", "start", "n", "twice"])
 
         for i in range(batch.num_rows):
             data = np.frombuffer(texts[i].as_buffer() or b"", np.uint8)
-            for got in runs(data, first, second):
+            for got in runs(data, hasher):
                 parts.append(got)
                 rows.append((i, len(got[0])))
                 size += len(got[0])
@@ -245,7 +255,7 @@ def texts_of_runs(batches):
         rows = []
         for i in range(batch.num_rows):
             doc_id, th = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-            data = memoryview(batch.column(2)[i].as_buffer())
+            data = memoryview(batch.column(2)[i].as_buffer() or b"")
             for r in batch.column(3)[i].as_py():
                 rows.append((r["key"], doc_id, th, r["start"], r["n"], bytes(data[r["start"] : r["start"] + r["n"] + LENGTH - 1]), r["single"]))
             if len(rows) > 5000 or (rows and i == batch.num_rows - 1):
@@ -253,75 +263,79 @@ def texts_of_runs(batches):
                 rows = []
 
 
-def window_hashes(batches):
+def window_digests(batches):
     """Runs of hot keys -> (doc_id, th, at, single, x, y) for each window."""
-    first, second = Hasher(3), Hasher(4)
     for batch in batches:
         for doc_id, th, start, n, text, single in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "th", "start", "n", "bytes", "single")), strict=True):
-            data, at = np.frombuffer(text, np.uint8), np.arange(n)
-            x, y = (h.of(h.prefix(data), at, at + LENGTH).view(np.int64) for h in (first, second))
+            h = digests(memoryview(text), list(range(n)), list(range(LENGTH, LENGTH + n)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([doc_id] * n, pa.int64()), pa.array([th] * n, pa.int64()), pa.array(at + start), pa.array([single] * n), pa.array(x), pa.array(y)],
+                [pa.array([doc_id] * n, pa.int64()), pa.array([th] * n, pa.int64()), pa.array(np.arange(start, start + n)), pa.array([single] * n), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy())],
                 names=["doc_id", "th", "at", "single", "x", "y"],
             )
 
 
+RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept_text", pa.string())])
+DDL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
+
+
 def finish(batches):
-    """(doc_id, text, spans) -> the result's rows."""
+    """(doc_id, text, spans) -> the result's rows, in batches of about BLOCK_BYTES."""
     for batch in batches:
-        rows = []
+        rows, size = [], 0
         for i in range(batch.num_rows):
-            raw = batch.column(1)[i].as_buffer()
-            data = memoryview(raw) if raw is not None else b""
+            data = memoryview(batch.column(1)[i].as_buffer() or b"")
             merged: list[list[int]] = []
             for s, e in sorted((x["s"], x["e"]) for x in batch.column(2)[i].as_py() or []):
                 if merged and s <= merged[-1][1]:
                     merged[-1][1] = max(merged[-1][1], e)
                 else:
                     merged.append([s, e])
-            digest, at = hashlib.sha256(), 0
-            for s, e in merged:
-                digest.update(data[at:s])
-                at = e
-            digest.update(data[at:])
-            rows.append((batch.column(0)[i].as_py(), len(data), sum(e - s for s, e in merged), len(merged), digest.hexdigest()))
+            cuts = [0, *(x for span in merged for x in span), len(data)]
+            left = b"".join([data[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True)])
+            rows.append((batch.column(0)[i].as_py(), len(data), len(data) - len(left), len(merged), hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore")))
+            size += len(left)
+            if size > BLOCK_BYTES:
+                yield to_batch(rows, RESULT)
+                rows, size = [], 0
         if rows:
-            types = [pa.int64()] * 4 + [pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            yield to_batch(rows, RESULT)
 
 
 def spans(docs: DataFrame, scratch: Scratch, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """(doc_id, th, s, e) byte ranges to remove, maybe overlapping; docs: (doc_id, th, text)."""
     found = scratch.save(docs.filter(F.octet_length("text") >= LENGTH).mapInArrow(all_runs, RUN_DDL))
-    keys = found.groupBy("key").agg(F.count("*").alias("c"), (F.min("h") != F.max("h")).alias("differ"), F.max("twice").alias("again"))
-    keys = keys.filter("c > 1 OR again").select("key", (F.col("differ") | F.col("again")).alias("open"))
-    shared = scratch.save(found.join(keys, "key"))
+    total = found.count()
+    differ = (F.min("h") != F.max("h")) | (F.min("g") != F.max("g"))
+    keys = found.groupBy("key").agg(F.count("*").alias("c"), differ.alias("differ"), F.max("twice").alias("again"))
+    keys = scratch.save(keys.filter("c > 1 OR again").select("key", "c", F.expr("differ OR again").alias("open")))
+    shared = scratch.save(join_skewed(found, keys, ["key"], total).drop("c"))
     end = (F.col("start") + F.col("n") - 1 + LENGTH).alias("e")
     whole = shared.filter("NOT open").select("doc_id", "th", F.col("start").alias("s"), end)
     rows = shared.filter("open")
-    kinds = rows.groupBy("key", "h").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "th", "start")).alias("one"))
-    rows = rows.join(kinds, ["key", "h"])
+    kinds = scratch.save(rows.groupBy("key", "h", "g").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "th", "start")).alias("one")))
+    rows = scratch.save(join_skewed(rows, kinds, ["key", "h", "g"], total))
     whole = whole.union(rows.filter("c > 1").select("doc_id", "th", F.col("start").alias("s"), end))
     asked = rows.filter("c = 1 OR (doc_id <=> one.doc_id AND th = one.th AND start = one.start)").select("doc_id", "th", "key", "start", "n", (F.col("c") == 1).alias("single"))
-    asked = asked.groupBy("doc_id", "th").agg(F.collect_list(F.struct("key", "start", "n", "single")).alias("runs"))
+    # Sets, so that rows with one id and text ask once for all of them.
+    asked = scratch.save(asked.groupBy("doc_id", "th").agg(F.collect_set(F.struct("key", "start", "n", "single")).alias("runs")))
     same = (docs["doc_id"].eqNullSafe(asked["doc_id"])) & (docs["th"] == asked["th"])
     texts = docs.join(asked, same).select(docs["doc_id"], docs["th"], docs["text"], "runs")
     texts = scratch.save(texts.mapInArrow(texts_of_runs, "key long, doc_id long, th long, start long, n int, bytes binary, single boolean"))
-    hot = texts.groupBy("key").agg(F.sum(F.octet_length("bytes")).alias("size")).filter(F.col("size") > hot_bytes).select("key")
+    hot = scratch.save(texts.groupBy("key").agg(F.sum(F.octet_length("bytes")).alias("size"), F.count("*").alias("c")).filter(F.col("size") > hot_bytes))
     cold = texts.join(hot, "key", "left_anti").select("key", "doc_id", "th", "start", "n", "bytes", "single")
     cold = cold.repartition("key").sortWithinPartitions("key").mapInArrow(sorted_spans, SPAN_DDL)
-    windows = scratch.save(texts.join(hot, "key", "left_semi").mapInArrow(window_hashes, "doc_id long, th long, at long, single boolean, x long, y long"))
-    twice = windows.groupBy("x", "y").agg(F.count("*").alias("c")).filter("c > 1").select("x", "y")
-    hits = windows.filter("single").join(twice, ["x", "y"]).select("doc_id", "th", F.col("at").alias("s"), (F.col("at") + LENGTH).alias("e"))
+    windows = scratch.save(join_skewed(texts, hot, ["key"], total).mapInArrow(window_digests, "doc_id long, th long, at long, single boolean, x long, y long"))
+    twice = scratch.save(windows.groupBy("x", "y").agg(F.count("*").alias("c")).filter("c > 1"))
+    hits = join_skewed(windows.filter("single"), twice, ["x", "y"], windows.count()).select("doc_id", "th", F.col("at").alias("s"), (F.col("at") + LENGTH).alias("e"))
     return whole.union(cold).union(hits)
 
 
 def remove(df: DataFrame, doc_id: str = "doc_id", text: str = "text", hot_bytes: int = HOT_BYTES) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text) for each row; in kept_text the rest of a character that a cut divides is left out."""
     scratch = Scratch(df.sparkSession, "suffix")
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(t).alias("th"), t.alias("text"))
-    found = spans(docs, scratch, hot_bytes).groupBy("doc_id", "th").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    found = found.withColumnsRenamed({"doc_id": "_id", "th": "_th"})
+    found = spans(docs, scratch, hot_bytes).groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+    found = scratch.save(found)
     joined = docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]) & (docs["th"] == found["_th"]), "left")
-    return joined.select("doc_id", "text", "spans").mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return joined.select("doc_id", "text", "spans").mapInArrow(finish, DDL)
