@@ -1,71 +1,84 @@
 """Sharding by vector bin packing: bytes, tokens and rows are balanced jointly.
 
-Groups of equal texts are the units. Groups that are small against a shard are gathered by
-their hash into a fixed number of bundles; a group that is large against a shard is split into
-chunks by a hash of its ids (a third of all rows may be one text). Bundles and chunks are the
-items of the packing: at most BUNDLES + CHUNKS * 3 of them whatever the input's size, because
-a chunk holds at least a CHUNKS-th of a total. They go in order of size to the shard where the
-dot product of the item's vector (bytes, tokens, rows as shares of the totals) with the
-shard's residual capacity is highest. Then moves and swaps of the smallest use even out the bytes, which
-is the law that holds: `bytes`, sizes near equal.
+Groups of equal texts are the units and stay whole, in one shard. Only a group that is larger
+than a shard's share of the bytes, tokens or rows is divided (a third of all rows may be one
+text), into parts of at most a PARTS-th of a shard. Groups of at least an n-th of a total
+(n = LARGE) are items of the packing by themselves: at most 3 * LARGE, whatever the input's size.
+All smaller groups are gathered by their hash, each whole, into at most BUNDLES items, so that
+the driver gets a bounded number of sums; below that number an item is mostly one group.
 
-Slots are gapless without sorting a shard in one task: each item has an offset in its shard,
-and rows are numbered within their item.
+Items go in order of size to the shard where the dot product of the item's vector (bytes, tokens,
+rows as shares of the totals) with the shard's residual capacity is highest. Then moves and swaps
+even out the bytes, which is the law that holds: `bytes`, sizes near equal. Of the moves that
+serve the bytes best, or well enough, the one that leaves tokens and rows most even is taken.
 
-Defined cases: a null text has size 1, no tokens, and CRC 0, as an empty one has; ties are
-broken by item number, then doc_id, then position of equal rows is arbitrary but each row gets a
-slot of its own; an empty table gives an empty result; other columns are ignored.
+Slots are gapless without sorting a shard or a large group in one task: each block of an item has
+an offset in its shard, and rows are numbered within their block.
+
+Defined cases: a null text has size 1, no tokens, and CRC 0, as an empty one has, and is one
+group with it; very long texts are one row of a large size; ties are broken by item number;
+repeated rows and ids, also null ones, each get a slot of their own; an empty table gives an
+empty result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Scratch, words
 
-SHARDS, BUNDLES, CHUNKS = 16, 4096, 1024
+SHARDS, BUNDLES, LARGE, PARTS, BLOCK_ROWS, BLOCKS = 16, 1 << 16, 1024, 4, 100_000, 1 << 16
 DIMS = ("size", "tokens", "n")
 
 
-def pack(items: list[tuple], shards: int) -> dict[int, int]:
-    """items: (item, size, tokens, n) -> shard of each item."""
-    totals = [max(1, sum(x[d] for x in items)) for d in (1, 2, 3)]
-    share = {x[0]: tuple(x[d] / totals[d - 1] for d in (1, 2, 3)) for x in items}
-    free = [[1.0 / shards] * 3 for _ in range(shards)]
-    out: dict[int, int] = {}
-    bins: list[list[int]] = [[] for _ in range(shards)]
-    for item in sorted(share, key=lambda i: (-max(share[i]), i)):
-        v = share[item]
-        best = max(range(shards), key=lambda s: (sum(a * b for a, b in zip(v, free[s], strict=True)), -s))
-        out[item] = best
-        bins[best].append(item)
-        free[best] = [a - b for a, b in zip(free[best], v, strict=True)]
-    size = {x[0]: x[1] for x in items}
-    load = [sum(size[i] for i in b) for b in bins]
-    for _ in range(64 * shards):
-        high, low = max(range(shards), key=load.__getitem__), min(range(shards), key=load.__getitem__)
-        gap = load[high] - load[low]
-        moves = [(abs(gap - 2 * size[i]), i, None) for i in bins[high] if size[i] < gap]
-        a, b = sorted(bins[high], key=size.__getitem__), sorted(bins[low], key=size.__getitem__)
-        k = 0
-        for i in a:  # swaps: for each item the partner that brings the gap nearest to zero
-            while k < len(b) and 2 * (size[i] - size[b[k]]) > gap:
-                k += 1
-            moves += [(abs(gap - 2 * (size[i] - size[j])), i, j) for j in b[max(0, k - 1) : k + 1] if 0 < size[i] - size[j] < gap]
-        if not moves or (best := min(moves, key=lambda m: (m[0], m[1], -1 if m[2] is None else m[2])))[0] >= gap:
-            break
-        _, i, j = best
-        for item, old, new in [(i, high, low)] + ([(j, low, high)] if j is not None else []):
-            bins[old].remove(item)
-            bins[new].append(item)
-            load[old] -= size[item]
-            load[new] += size[item]
-            out[item] = new
+def pack(items: np.ndarray, shards: int) -> np.ndarray:
+    """items: rows of (size, tokens, n) -> shard of each item."""
+    share = items / np.maximum(1, items.sum(0))
+    free = np.full((shards, 3), 1.0 / shards)
+    out = np.zeros(len(items), np.int64)
+    for i in np.lexsort((np.arange(len(items)), -share.max(1))).tolist():
+        out[i] = best = int((free @ share[i]).argmax())
+        free[best] -= share[i]
+    even(items, out, shards)
     return out
 
 
+def even(items: np.ndarray, out: np.ndarray, shards: int) -> None:
+    """Moves and swaps between the fullest and the emptiest shard until their bytes are within a 2000th of a shard, or no step helps."""
+    load = np.stack([np.bincount(out, items[:, d], shards) for d in range(3)], 1)
+    enough = load[:, 0].mean() / 2000
+    weight = 1 / np.maximum(1, load.sum(0))
+    for _ in range(64 * shards):
+        high, low = int(load[:, 0].argmax()), int(load[:, 0].argmin())
+        gap = load[high, 0] - load[low, 0]
+        if gap <= enough:
+            return
+        a, b = np.flatnonzero(out == high), np.flatnonzero(out == low)
+        b = b[np.argsort(items[b, 0], kind="stable")]
+        near = np.searchsorted(items[b, 0], items[a, 0] - gap / 2)
+        steps = [(a, np.full(len(a), -1))]  # a move of i, or a swap of i for the partner whose size takes the gap nearest to zero
+        for k in (near - 1, near):
+            ok = (k >= 0) & (k < len(b))
+            steps.append((a[ok], b[k[ok]]))
+        i, j = (np.concatenate(x) for x in zip(*steps, strict=True))
+        change = items[i] - np.where((j >= 0)[:, None], items[j], 0)
+        left = np.abs(gap - 2 * change[:, 0])
+        if not len(left) or left.min() >= gap:
+            return
+        good = np.flatnonzero(left <= max(left.min(), enough))
+        uneven = (np.abs(load[high, 1:] - load[low, 1:] - 2 * change[good, 1:]) * weight[1:]).sum(1)
+        k = int(good[uneven.argmin()])
+        out[i[k]] = low
+        if j[k] >= 0:
+            out[j[k]] = high
+        load[high] -= change[k]
+        load[low] += change[k]
+
+
 def assign(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int = SHARDS) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard, tokens) for each row."""
     spark = df.sparkSession
@@ -78,29 +91,39 @@ def assign(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: in
             F.crc32(t.cast("binary")).alias("text_crc32"),
             F.size(words(t)).cast("long").alias("tokens"),
             F.xxhash64(t).alias("group"),
+            F.monotonically_increasing_id().alias("row"),
         )
     )
     sums = [F.sum(c if c != "n" else F.lit(1)).cast("long").alias(c) for c in DIMS]
     total = slim.agg(*sums).first()
-    least = {c: max(1, -(-(total[c] or 1) // CHUNKS)) for c in DIMS}
-    # Groups that reach a CHUNKS-th of a total: at most CHUNKS for each of the three.
-    parts = F.greatest(*(F.ceil(F.col(c) / least[c]) for c in DIMS)).cast("int")
-    large = slim.groupBy("group").agg(*sums).filter(" OR ".join(f"{c} >= {least[c]}" for c in DIMS)).select("group", parts.alias("parts"))
+    least = {c: max(1, -(-(total[c] or 1) // LARGE)) for c in DIMS}
+    shares = F.greatest(*(F.col(c) * shards / max(1, total[c] or 1) for c in DIMS))
+    parts = F.when(shares > 1, F.ceil(shares * PARTS)).otherwise(1).cast("int").alias("parts")
+    # Groups that reach a LARGE-th of a total: at most LARGE for each of the three.
+    large = slim.groupBy("group").agg(*sums).filter(" OR ".join(f"{c} >= {least[c]}" for c in DIMS)).select("group", parts)
     first, numbered = BUNDLES, []
     for g, k in sorted(map(tuple, large.collect())):
         numbered.append((g, first, k))
         first += k
     known = spark.createDataFrame(numbered, "group long, first int, parts int")
-    chunk = F.col("first") + F.pmod(F.xxhash64("doc_id"), F.col("parts").cast("long")).cast("int")
-    item = F.coalesce(chunk, F.pmod(F.col("group"), F.lit(BUNDLES)).cast("int")).alias("item")
-    placed = slim.join(F.broadcast(known), "group", "left").select("doc_id", "size", "text_crc32", "tokens", item)
-    items = sorted(map(tuple, placed.groupBy("item").agg(*sums).collect()))
-    shard_of, filled, rows = pack(items, shards), [0] * shards, []
-    for i, _, _, n in items:
-        rows.append((i, shard_of[i], filled[shard_of[i]]))
+    part = F.col("first") + F.pmod(F.xxhash64("row"), F.col("parts").cast("long")).cast("int")
+    item = F.coalesce(part, F.pmod(F.col("group"), F.lit(BUNDLES)).cast("int")).alias("item")
+    placed = slim.join(F.broadcast(known), "group", "left").select("doc_id", "size", "text_crc32", "tokens", "row", item)
+    items = pd.DataFrame(placed.groupBy("item").agg(*sums).collect(), columns=["item", *DIMS]).sort_values("item", ignore_index=True)
+    items["shard"] = pack(items[list(DIMS)].to_numpy(np.float64).reshape(-1, 3), shards)
+    # An item of very many rows is numbered in blocks: at most BLOCKS more than there are items.
+    items["blocks"] = np.maximum(1, -(-items["n"].astype(np.int64) // max(BLOCK_ROWS, (total["n"] or 0) // BLOCKS)))
+    said = spark.createDataFrame(items[["item", "shard", "blocks"]].values.tolist(), "item int, shard int, blocks int")
+    blocked = placed.join(F.broadcast(said), "item").withColumn("block", F.pmod(F.xxhash64("row", F.lit(1)), F.col("blocks").cast("long")).cast("int"))
+    counted = blocked.filter("blocks > 1").groupBy("item", "block").agg(F.count("*").alias("n")).collect() if (items["blocks"] > 1).any() else []
+    single = items[items["blocks"] == 1]
+    every = sorted([*((r["item"], r["block"], r["n"]) for r in counted), *zip(single["item"].tolist(), [0] * len(single), single["n"].tolist(), strict=True)])
+    shard_of, filled, rows = dict(zip(items["item"].tolist(), items["shard"].tolist(), strict=True)), [0] * shards, []
+    for i, block, n in every:
+        rows.append((i, block, filled[shard_of[i]]))
         filled[shard_of[i]] += n
-    mapping = spark.createDataFrame(rows, "item int, shard int, first_slot long")
-    row = F.row_number().over(W.partitionBy("item").orderBy("doc_id", "size", "text_crc32"))
-    return placed.withColumn("row", row).join(F.broadcast(mapping), "item").select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("first_slot") + F.col("row") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "tokens"
+    offsets = spark.createDataFrame(rows, "item int, block int, first_slot long")
+    row = F.row_number().over(W.partitionBy("item", "block").orderBy("doc_id", "row"))
+    return blocked.withColumn("number", row).join(F.broadcast(offsets), ["item", "block"]).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("first_slot") + F.col("number") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "tokens"
     )
