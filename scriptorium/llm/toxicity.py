@@ -1,38 +1,47 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Examples are at most SAMPLE labelled rows (those of the least hash of the id, held-out ids
-never). Terms are folded words and the first FRONT letters of longer words; the TERMS terms with the
-largest chi-squared value against the label (LEAST_CHI at least) make the vocabulary, weighted by sublinear tf and
-smoothed idf. The postings of the index lie in blocks of BLOCK examples (sorted so that alike
-examples share a block) and each term keeps its largest weight in each block. A query's bound
-on a block is its dot product with those maxima; blocks are opened in order of falling bound
-and the search stops when no closed block can reach the k-th best cosine, so that the K
-neighbours are exact. Only blocks where a query's terms have postings are ever touched.
+Examples are at most SAMPLE labelled rows (those of the least hash of the id, held-out ids never),
+and at most POSTINGS distinct terms of them in all. Terms are folded words and the first FRONT letters of longer
+words; every term of every example is in the vocabulary and every example in the index. A weight
+is (1 + log tf) * idf * (1 + BOOST * phi^2): sublinear tf, smoothed idf, and the square of
+the term's correlation with the label (shrunk where it rests on few rows), which lets terms that tell
+the labels apart count for more; no term is left out.
+
+The postings lie in blocks of BLOCK examples (sorted so that alike examples share a block) and
+each term keeps its largest weight in each block. The DENSE commonest terms have their postings in
+a matrix, so that a product gives their part of the cosine for a batch of queries. A query's bound
+on a block is the largest such part in the block plus the dot product of its other terms with their
+maxima; blocks are opened in order of falling bound, in growing rounds, and the search stops
+when no closed block can reach the k-th best cosine, so that the K neighbours are exact.
 
 The K neighbours vote with their cosine as weight, against PRIOR votes for the training share;
-isotonic regression on leave-one-out votes of the examples turns votes into probabilities. The
-nearest examples and their cosines are returned as evidence. Texts without a vocabulary term have no
-neighbour and get the calibrated score of the prior.
+isotonic regression on leave-one-out votes of the examples (cast on the executors) turns votes
+into probabilities. The nearest examples and their cosines are returned as evidence. Texts that share no
+term with any example have no neighbour and get the calibrated score of the prior.
 
 Defined cases: null texts score as empty ones; null labels are not learned from; without toxic
 or clean examples the score is the training share (0 without examples); equal cosines are
-ordered by example; repeated rows each give a row; an empty table gives an empty result; other
-columns are ignored.
+ordered by example; very long texts count whole, one entry for each distinct term; repeated rows
+each give a row; an empty table gives an empty result; other columns, whatever their names, are
+ignored.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import Scratch, slices
 from .quality_model import held_out, training
 
-SAMPLE, TERMS, FRONT, BLOCK, K, PRIOR, THRESHOLD, LEAST_CHI = 8_000, 1024, 5, 32, 8, 0.5, 0.3, 25.0
+SAMPLE, POSTINGS, FRONT, BOOST, DENSE, BLOCK, K, PRIOR, THRESHOLD = 8_000, 12_000_000, 5, 100.0, 512, 32, 8, 0.5, 0.3
+FIRST_ROUND, BATCH, SHRINK = 12, 64, 20.0
 
 
 def terms(text: str | None) -> Counter:
@@ -45,140 +54,231 @@ def terms(text: str | None) -> Counter:
     return words
 
 
-def choose(bags: list[Counter], y: np.ndarray, most: int) -> list[str]:
-    """Terms in two or more examples with the largest chi-squared of presence against the label."""
-    df, pos = Counter(), Counter()
-    for bag, label in zip(bags, y, strict=True):
-        df.update(bag.keys())
-        if label:
-            pos.update(bag.keys())
-    n, n1 = len(y), float(y.sum())
-    names = sorted(t for t, c in df.items() if c >= 2)
-    if not names:
-        return []
-    d, a = np.array([df[t] for t in names], float), np.array([pos[t] for t in names], float)
-    expected = d * n1 / n
-    chi = (a - expected) ** 2 * n / np.maximum(expected * (n - n1) * (1 - d / (n + 1)), 1e-9)
-    order = np.lexsort((np.arange(len(names)), -chi))
-    return [names[k] for k in order[:most] if chi[k] > LEAST_CHI]
+def ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    n = ends - starts
+    return np.arange(n.sum()) + np.repeat(starts - np.concatenate(([0], np.cumsum(n)[:-1])), n) if len(n) else np.zeros(0, np.int64)
+
+
+def clusters(x: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
+    """Cluster of each row by cosine (k-means from rows at even distances); it decides how well blocks are pruned, never the result."""
+    if k < 2:
+        return np.zeros(len(x), np.int64)
+    x = x / np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-9)
+    centre = x[np.arange(k) * len(x) // k]
+    for _ in range(rounds):
+        own = (x @ centre.T).argmax(1)
+        total = np.zeros_like(centre)
+        np.add.at(total, own, x)
+        centre = total / np.maximum(np.sqrt((total * total).sum(1, keepdims=True)), 1e-9)
+    return own
 
 
 class Index:
-    """Block-max inverted index over the examples."""
-
-    def __init__(self, bags: list[Counter], y: np.ndarray, ids: np.ndarray, most_terms: int = TERMS) -> None:
-        names = choose(bags, y, most_terms)
-        self.term = {t: k for k, t in enumerate(names)}
-        share = float(y.mean()) if len(y) else 0.0
-        self.share = share
-        df = Counter(t for bag in bags for t in bag if t in self.term)
-        self.idf = np.array([np.log((1 + len(bags)) / (1 + df[t])) + 1 for t in names])
-        vectors = [self.vector(bag) for bag in bags]
-        # Examples without a term can't be neighbours; alike ones (same label, same heaviest term) go to the same block.
-        used = [k for k, (t, _) in enumerate(vectors) if len(t)]
-        used.sort(key=lambda k: (y[k], vectors[k][0][vectors[k][1].argmax()], k))
-        self.y, self.ids, self.n = y[used].astype(float), ids[used], len(used)
-        self.blocks = -(-self.n // BLOCK)
-        t = np.concatenate([vectors[k][0] for k in used]) if used else np.zeros(0, np.int64)
-        w = np.concatenate([vectors[k][1] for k in used]) if used else np.zeros(0)
-        e = np.repeat(np.arange(self.n), [len(vectors[k][0]) for k in used]) if used else np.zeros(0, np.int64)
-        order = np.lexsort((e, t))
-        self.examples, self.weights = e[order], w[order]
-        # Postings of (term, block): [start, end) in examples/weights; and the largest weight there.
-        self.edges = np.searchsorted(t[order] * max(1, self.blocks) + self.examples // BLOCK, np.arange(len(names) * max(1, self.blocks) + 1))
-        self.most = np.zeros((len(names), max(1, self.blocks)), np.float32)
-        np.maximum.at(self.most, (t, e // BLOCK), np.nextafter(w.astype(np.float32), np.float32(2)))
-        self.x, self.p = np.array([0.0]), np.array([share])
-        if 0 < share < 1:
-            self.calibrate(vectors, used, y)
+    """Block-max inverted index over the examples; bags are pairs of arrays (term, count) over the vocabulary's numbers."""
+
+    def __init__(self, vocabulary: dict[str, int], bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, ids: np.ndarray) -> None:
+        self.term, n = vocabulary, len(bags)
+        self.share = float(y.mean()) if n else 0.0
+        t = np.concatenate([b for b, _ in bags]) if n else np.zeros(0, np.int64)
+        tf = np.concatenate([c for _, c in bags]).astype(float) if n else np.zeros(0)
+        e = np.repeat(np.arange(n), [len(b) for b, _ in bags])
+        df, toxic, n1 = np.bincount(t, minlength=len(vocabulary)), np.bincount(t, y[e], len(vocabulary)), float(y.sum())
+        expected = df * (n1 / max(1, n))
+        chi = (toxic - expected) ** 2 * n / np.maximum(expected * (n - n1) * (1 - df / (n + 1)), 1e-9)
+        phi2 = chi / max(1, n) * chi / (chi + SHRINK)
+        self.weight = (np.log((1 + n) / (1 + df)) + 1) * (1 + BOOST * phi2)
+        w = (1 + np.log(tf)) * self.weight[t]
+        w /= np.sqrt(np.bincount(e, w * w, n))[e]
+        # The commonest terms' numbers in the matrix; -1: the term has blocks.
+        common = np.lexsort((np.arange(len(df)), -df))[:DENSE]
+        self.row = np.full(len(vocabulary), -1, np.int64)
+        self.row[common] = np.arange(len(common))
+        in_row = self.row[t] >= 0
+        dense = np.zeros((n, len(common)))
+        dense[e[in_row], self.row[t[in_row]]] = w[in_row]
+        # Alike examples go to the same block: by cluster of their common terms, label, and heaviest term.
+        heaviest = np.zeros(n, np.int64)
+        by = np.lexsort((t, w, e))
+        last = np.flatnonzero(np.diff(np.append(e[by], n)))
+        heaviest[e[by][last]] = t[by][last]
+        order = np.lexsort((np.arange(n), heaviest, y, clusters(dense, -(-n // (8 * BLOCK)))))
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        self.y, self.ids, self.n, self.blocks = y[order].astype(float), ids[order], n, -(-n // BLOCK)
+        e = place[e]
+        self.dense = np.zeros((len(common), self.blocks * BLOCK))
+        self.dense[:, :n] = dense[order].T
+        t, e, w = t[~in_row], e[~in_row], w[~in_row]
+        by = np.lexsort((e, t))
+        t, e, w = t[by], e[by], w[by]
+        self.examples, self.weights = e.astype(np.int32), w
+        # Entries: a term's postings in a block; `entry` has the first posting of each, `first` the first entry of each term.
+        new = np.ones(len(t), bool)
+        new[1:] = (t[1:] != t[:-1]) | (e[1:] // BLOCK != e[:-1] // BLOCK)
+        at = np.flatnonzero(new)
+        self.entry = np.append(at, len(t))
+        self.block = (e[at] // BLOCK).astype(np.int32)
+        self.most = np.maximum.reduceat(w, at) if len(at) else np.zeros(0)
+        self.first = np.searchsorted(t[at], np.arange(len(vocabulary) + 1))
 
     def vector(self, bag: Counter) -> tuple[np.ndarray, np.ndarray]:
         found = sorted((self.term[t], n) for t, n in bag.items() if t in self.term)
         t = np.array([k for k, _ in found], np.int64)
-        w = (1 + np.log(np.array([n for _, n in found], float))) * self.idf[t] if found else np.zeros(0)
+        w = (1 + np.log(np.array([n for _, n in found], float))) * self.weight[t] if found else np.zeros(0)
         return t, w / np.sqrt((w * w).sum()) if found else w
 
-    def nearest(self, t: np.ndarray, w: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
-        """(cosine, example) of the k nearest by falling cosine, then by example; only positive cosines."""
-        if not len(t) or not self.n:
-            return []
-        bounds = w @ self.most[t] + 1e-6
+    def examples_vectors(self):
+        """Each example's number -> its terms and weights."""
+        t = np.repeat(np.arange(len(self.first) - 1), self.entry[self.first[1:]] - self.entry[self.first[:-1]])
+        by = np.argsort(self.examples, kind="stable")
+        edge = np.searchsorted(self.examples[by], np.arange(self.n + 1))
+        common = np.flatnonzero(self.row >= 0)
+        common = common[np.argsort(self.row[common])]
+
+        def vector(k: int) -> tuple[np.ndarray, np.ndarray]:
+            own, column = by[edge[k] : edge[k + 1]], self.dense[:, k]
+            rows = np.flatnonzero(column)
+            return np.concatenate((t[own], common[rows])), np.concatenate((self.weights[own], column[rows]))
+
+        return vector
+
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None, opened: list[int] | None = None) -> list[list[tuple[float, int]]]:
+        """For each query (terms, weights): (cosine, example) of the k nearest by falling cosine, then by example; only
+        positive cosines, never the example `without`. opened: gets the number of blocks that were opened for each query."""
+        out = []
+        for at in range(0, len(queries), BATCH):
+            part = queries[at : at + BATCH]
+            q = np.zeros((len(part), len(self.dense)))
+            for i, (t, w) in enumerate(part):
+                rows = self.row[t]
+                q[i, rows[rows >= 0]] = w[rows >= 0]
+            known = q @ self.dense
+            for i, (t, w) in enumerate(part):
+                rare = self.row[t] < 0
+                out.append(self.search(known[i], t[rare], w[rare], k, without[at + i] if without else -1, opened))
+        return out
+
+    def search(self, cosine: np.ndarray, t: np.ndarray, w: np.ndarray, k: int, without: int, opened: list[int] | None) -> list[tuple[float, int]]:
+        """The nearest, from the common terms' part of every cosine and the other terms."""
+        entries = ranges(self.first[t], self.first[t + 1])
+        weight = np.repeat(w, self.first[t + 1] - self.first[t])
+        block = self.block[entries]
+        if without >= 0:
+            cosine[without] = -1e9
+        bounds = np.bincount(block, weight * self.most[entries], self.blocks) + cosine.reshape(-1, BLOCK).max(1, initial=0) + 1e-9
         order = np.argsort(-bounds, kind="stable")
-        best: list[tuple[float, int]] = []
-        stride = self.most.shape[1]
-        for b in order.tolist():
-            if bounds[b] <= 2e-6 or (len(best) == k and bounds[b] < -best[-1][0]):
-                break
-            base, got = b * BLOCK, np.zeros(BLOCK)
-            for term, weight in zip(t.tolist(), w.tolist(), strict=True):
-                s, e = self.edges[term * stride + b], self.edges[term * stride + b + 1]
-                if e > s:
-                    got[self.examples[s:e] - base] += weight * self.weights[s:e]
-            floor = -best[-1][0] if len(best) == k else 0.0
-            best += [(-got[j], base + j) for j in np.flatnonzero(got >= max(floor, 1e-12)).tolist() if base + j != without]
-            best = sorted(best)[:k]
-        return [(-c, e) for c, e in best]
+        best, value, floor, at, step = np.zeros(0, np.int64), np.zeros(0), 1e-9, 0, FIRST_ROUND
+        while at < len(order) and bounds[order[at]] > floor:
+            chosen = order[at : at + step]
+            chosen = chosen[bounds[chosen] > floor]
+            wanted = np.zeros(self.blocks, bool)
+            wanted[chosen] = True
+            own = np.flatnonzero(wanted[block])
+            starts, ends = self.entry[entries[own]], self.entry[entries[own] + 1]
+            posts = ranges(starts, ends)
+            part = np.bincount(self.examples[posts], np.repeat(weight[own], ends - starts) * self.weights[posts], len(cosine)).reshape(-1, BLOCK)[chosen]
+            part = part + cosine.reshape(-1, BLOCK)[chosen]
+            hit = np.flatnonzero(part.ravel() > floor)
+            best = np.concatenate((best, chosen[hit // BLOCK] * BLOCK + hit % BLOCK))
+            value = np.concatenate((value, part.ravel()[hit].round(10)))
+            take = np.lexsort((best, -value))[:k]
+            best, value = best[take], value[take]
+            floor = max(1e-9, value[-1] - 1e-9) if len(best) == k else 1e-9
+            at, step = at + len(chosen), step * 8
+        if opened is not None:
+            opened.append(at)
+        return list(zip(value.tolist(), best.tolist(), strict=True))
 
     def vote(self, found: list[tuple[float, int]]) -> float:
         return (PRIOR * self.share + sum(c * self.y[e] for c, e in found)) / (PRIOR + sum(c for c, _ in found))
 
-    def calibrate(self, vectors, used, y) -> None:
-        """Isotonic regression (pool adjacent violators) of the label on leave-one-out votes."""
-        place = {k: j for j, k in enumerate(used)}
-        v = np.array([self.vote(self.nearest(*vectors[k], K, place[k]) if k in place else []) for k in range(len(vectors))])
-        pools: list[list[float]] = []
-        for x, label in sorted(zip(v.round(6).tolist(), y.tolist(), strict=True)):
-            if pools and pools[-1][0] == x:
-                pools[-1][1] += label
-                pools[-1][2] += 1
-            else:
-                pools.append([x, label, 1])
-        merged: list[list[float]] = []
-        for x, a, n in pools:
-            merged.append([x, a, n])
-            while len(merged) > 1 and merged[-2][1] / merged[-2][2] >= merged[-1][1] / merged[-1][2]:
-                x2, a2, n2 = merged.pop()
-                merged[-1] = [(merged[-1][0] * merged[-1][2] + x2 * n2) / (merged[-1][2] + n2), merged[-1][1] + a2, merged[-1][2] + n2]
-        self.x, self.p = np.array([m[0] for m in merged]), np.array([m[1] / m[2] for m in merged])
-
-    def score(self, text: str | None) -> tuple[float, list[tuple[float, int]]]:
-        found = self.nearest(*self.vector(terms(text)), K)
-        return float(np.interp(self.vote(found), self.x, self.p)), [(c, int(self.ids[e])) for c, e in found[:3]]
-
-
-def build(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Index:
-    """The index over the sample. The driver gets term counts of at most `sample` examples."""
+
+def calibrated(votes: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Isotonic regression (pool adjacent violators) of the label on the votes: (votes, probabilities) to interpolate."""
+    pools: list[list[float]] = []
+    for x, label in sorted(zip(votes.round(6).tolist(), y.tolist(), strict=True)):
+        if pools and pools[-1][0] == x:
+            pools[-1][1] += label
+            pools[-1][2] += 1
+        else:
+            pools.append([x, label, 1])
+    merged: list[list[float]] = []
+    for x, a, n in pools:
+        merged.append([x, a, n])
+        while len(merged) > 1 and merged[-2][1] / merged[-2][2] >= merged[-1][1] / merged[-1][2]:
+            x2, a2, n2 = merged.pop()
+            merged[-1] = [(merged[-1][0] * merged[-1][2] + x2 * n2) / (merged[-1][2] + n2), merged[-1][1] + a2, merged[-1][2] + n2]
+    return np.array([m[0] for m in merged]), np.array([m[1] / m[2] for m in merged])
+
+
+@dataclass
+class Model:
+    """The index where the executors have it, and the calibration."""
+
+    held: Broadcast
+    x: np.ndarray = field(default_factory=lambda: np.zeros(1))
+    p: np.ndarray = field(default_factory=lambda: np.zeros(1))
+
+    def score(self, found: list[tuple[float, int]]) -> float:
+        return float(np.interp(self.held.value.vote(found), self.x, self.p))
+
+
+def gathered(rows: list[tuple[int, int, str, list[int]]]) -> Index:
+    """The index of (id, label, terms, counts) rows."""
+    vocabulary: dict[str, int] = {}
+    bags = [(np.array([vocabulary.setdefault(t, len(vocabulary)) for t in said.split("\n") if t], np.int64), np.array(counts, np.int32)) for _, _, said, counts in rows]
+    return Index(vocabulary, bags, np.array([r[1] for r in rows], float), np.array([r[0] for r in rows], np.int64))
+
+
+def build(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, postings: int = POSTINGS) -> Model:
+    """The model over the sample. Terms are counted where the texts are; the driver gets the counts of `sample` rows and `postings` terms at most."""
+    spark = df.sparkSession
     rows = training(df, labels, "toxic", doc_id, text, sample)
 
     def run(batches):
         for batch in batches:
             bags = [terms(t) for t in slices(batch.column(0))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(2), batch.column(1), pa.array([list(b.keys()) for b in bags], pa.list_(pa.string())), pa.array([list(b.values()) for b in bags], pa.list_(pa.int32()))],
+                [batch.column(2), batch.column(1), pa.array(["\n".join(b) for b in bags], pa.string()), pa.array([list(b.values()) for b in bags], pa.list_(pa.int32()))],
                 names=["id", "label", "terms", "counts"],
             )
 
-    got = rows.mapInArrow(run, "id long, label int, terms array<string>, counts array<int>").orderBy("id", "label").limit(sample)
-    ids, y, bags = [], [], []
-    for r in got.toLocalIterator():
-        ids.append(r["id"])
-        y.append(r["label"])
-        bags.append(Counter(dict(zip(r["terms"], r["counts"], strict=True))))
-    return Index(bags, np.array(y, float), np.array(ids, np.int64))
+    found = Scratch(spark, "toxicity").save(rows.mapInArrow(run, "id long, label int, terms string, counts array<int>"))
+    taken, size = [], 0
+    for r in found.orderBy(F.xxhash64("id"), "id", "label", "terms").toLocalIterator():
+        size += len(r["counts"])
+        if len(taken) == sample or size > postings:
+            break
+        taken.append(tuple(r))
+    index = gathered(taken)
+    model = Model(spark.sparkContext.broadcast(index), p=np.array([index.share]))
+    if 0 < index.share < 1:
+
+        def cast(batches):
+            index = model.held.value
+            own = index.examples_vectors()
+            for batch in batches:
+                k = batch.column(0).to_pylist()
+                votes = [index.vote(found) for found in index.nearest([own(i) for i in k], K, k)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes, pa.float64())], names=["k", "vote"])
+
+        votes = dict(map(tuple, spark.range(0, index.n, 1, max(1, index.n // 250)).mapInArrow(cast, "k long, vote double").collect()))
+        model.x, model.p = calibrated(np.array([votes[k] for k in range(index.n)]), index.y)
+    return model
 
 
-def scores(df: DataFrame, index: Index, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scores(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence) for each row; evidence: the nearest examples' ids and cosines."""
-    held = df.sparkSession.sparkContext.broadcast(index)
 
     def run(batches):
-        index = held.value
+        index = model.held.value
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                got = [index.score(t) for t in slices(part.column(1))]
-                s = np.array([x for x, _ in got])
-                said = [",".join(f"{i}:{c:.4f}" for c, i in e) for _, e in got]
+                got = index.nearest([index.vector(terms(t)) for t in slices(part.column(1))], K)
+                s = np.array([model.score(found) for found in got])
+                said = [",".join(f"{index.ids[e]}:{c:.4f}" for c, e in found[:3]) for found in got]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([held_out(i) for i in part.column(0).to_pylist()]), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32)), pa.array(said, pa.string())],
                     names=["doc_id", "held_out", "score", "predicted", "evidence"],
