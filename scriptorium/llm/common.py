@@ -22,9 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFram
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir; on a local master (tests) one of our own where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("scriptorium.scratch", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='scriptorium-')}"
         spark.conf.set("scriptorium.scratch", found)
     return found.rstrip("/")

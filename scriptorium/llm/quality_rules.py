@@ -6,9 +6,11 @@ floating-point rounding.
 
 Defined cases: a null text counts as empty (no words, base_failed); one-word, blank and very
 long texts need no special path; repeated rows and ids each give a row; an empty table gives
-an empty result; other columns of the input are ignored by `measure` and kept by `keep`.
-Repeated 3-word windows are matched within one text by the low 64 - log2(words) bits of a hash:
-a false match has a chance of about words^3 / 2^65 a text.
+an empty result; `measure` keeps the other columns of the input, also those named like a metric, in
+whose place the metric comes; `keep` keeps all of them as they are.
+Repeated 3-word windows are sorted by the low 64 - log2(words) bits of a hash within one text, and
+neighbours with equal bits are compared word by word, so no window is counted that isn't repeated.
+(A repeated window could be missed only if another's hash fell between two of its places.)
 """
 
 from __future__ import annotations
@@ -32,13 +34,14 @@ STOP_FORMS = sorted({f for x in STOP_WORDS for f in (x, x.capitalize())})
 
 @dataclass(frozen=True)
 class Limit:
-    """A rule: 1000 * num / den must lie within [least, most]; rows with den = 0 pass."""
+    """A rule: 1000 * num / den must lie within [least, most]; rows with den under the floor pass."""
 
     name: str
     num: str
     den: str
     least: int | None = None
     most: int | None = None
+    floor: int = 1  # rows with a smaller den pass
 
     def broken(self, m: Column) -> Column:
         x, d = m[self.num] * 1000, m[self.den]
@@ -47,11 +50,11 @@ class Limit:
             out = out | (x < self.least * d)
         if self.most is not None:
             out = out | (x > self.most * d)
-        return (d > 0) & out
+        return (d >= self.floor) & out
 
     def sql(self) -> str:
         tests = [f"{self.num}*1000 {s} {k}*{self.den}" for s, k in (("<", self.least), (">", self.most)) if k is not None]
-        return f"({self.den} > 0 AND ({' OR '.join(tests)}))"
+        return f"({self.den} >= {self.floor} AND ({' OR '.join(tests)}))"
 
 
 #: The threshold table.
@@ -59,7 +62,7 @@ LIMITS = (
     Limit("word_length", "word_chars", "n_words", 2000, 12000),
     Limit("symbols", "n_symbols", "n_words", None, 100),
     Limit("stop_words", "n_stop", "n_words", 20, None),
-    Limit("duplicate_lines", "n_dup_lines", "n_lines", None, 300),
+    Limit("duplicate_lines", "n_dup_lines", "n_lines", None, 300, 10),
     Limit("capitals", "n_capitals", "word_chars", None, 300),
     Limit("exclamations", "n_marks", "n_words", None, 300),
 )
@@ -86,7 +89,9 @@ def metrics(text: Column, limits: tuple[Limit, ...] = LIMITS) -> Column:
         gram = lambda x, i: left(F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)), b).bitwiseOR(i)
         place = lambda x: x.bitwiseAND(left(F.lit(1).cast("long"), b) - 1)
         equal = lambda x, y: F.call_function("shiftrightunsigned", x.bitwiseXOR(y), b) == 0
-        both = lambda s: F.array_compact(F.zip_with(s, rest(s, 2), lambda x, y: F.when(equal(x, y), place(x) * (low + 1) + place(y))))
+        word = lambda x, k: F.get(w, place(x).cast("int") + k)
+        same = lambda x, y: equal(x, y) & (word(x, 0) == word(y, 0)) & (word(x, 1) == word(y, 1)) & (word(x, 2) == word(y, 2))
+        both = lambda s: F.array_compact(F.zip_with(s, rest(s, 2), lambda x, y: F.when(same(x, y), place(x) * (low + 1) + place(y))))
         places = lambda p: F.concat(F.transform(p, lambda x: F.shiftright(x, 31)), F.transform(p, lambda x: x.bitwiseAND(F.lit(low))))
         covered = lambda q: F.zip_with(q, rest(q, 2), lambda x, y: F.least(F.lit(3).cast("long"), y - x))
         grams = F.sort_array(F.slice(F.transform(w, gram), F.lit(1), F.greatest(F.size(w) - 2, F.lit(0))))
@@ -117,10 +122,11 @@ def metrics(text: Column, limits: tuple[Limit, ...] = LIMITS) -> Column:
 
 def measure(df: DataFrame, text: str = "text", limits: tuple[Limit, ...] = LIMITS) -> DataFrame:
     """All of df's rows with the columns RESULT and EXTRA added; `broken` names the limits that a text breaks."""
-    m = F.col("_metrics")
-    df = df.withColumn("_metrics", metrics(F.col(f"`{text}`"), limits))
+    m = F.col("metrics")
+    row = F.struct(*(F.col(f"`{c}`") for c in df.columns if c not in (*RESULT, *EXTRA)))
+    df = df.select(row.alias("row"), metrics(F.col(f"`{text}`"), limits).alias("metrics"))
     values = {c: m[c] for c in (*RESULT, *EXTRA) if c != "kept"} | {"kept": ~m["base_failed"] & (m["broken"] == "")}
-    return df.withColumns(values).drop("_metrics")
+    return df.select("row.*", *(x.alias(c) for c, x in values.items()))
 
 
 def keep(df: DataFrame, text: str = "text", limits: tuple[Limit, ...] = LIMITS) -> DataFrame:

@@ -10,7 +10,8 @@ between texts only add candidates.
 
 Defined cases: a null text counts as empty; each input row gives one row (repeated rows too);
 an empty table gives an empty result; a block ends after a bounded number of bytes, one very
-long text is a block of its own; other input columns are ignored.
+long text is a block of its own, and every rule is linear in it; other input columns, whatever their
+names, are ignored.
 """
 
 from __future__ import annotations
@@ -57,7 +58,7 @@ ADDED_RULES = (
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"[rs]k_live_[A-Za-z0-9]{16,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"),
 )
 MOST_STRINGS, BLOCK = 64, 8 << 20
 
@@ -131,7 +132,7 @@ def one(op, arg) -> tuple[set[str] | None, tuple | None]:
         if strings is not None and low == high and len(strings) ** min(low, 7) <= MOST_STRINGS and low <= 8:
             return {"".join(x) for x in product(strings, repeat=low)}, None
         return None, (query if strings is None else of_strings(strings)) if low else None
-    return (({""}, None) if op is C.AT else (None, None))
+    return (({""}, None) if op in (C.AT, C.ASSERT, C.ASSERT_NOT) else (None, None))
 
 
 def trigrams(query: tuple | None) -> set[bytes]:
