@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, join_skewed, to_batch
 
-LENGTH, GRAM, PIECE, BLOCK_BYTES, HOT_BYTES = 400, 128, 1 << 19, 3 << 20, 4 << 20
+LENGTH, GRAM, PIECE, BLOCK_BYTES, HOT_BYTES = 400, 128, 1 << 19, 1 << 20, 1 << 20
 V, COVER = 31, (1, 5, 11, 24, 25, 27)
 
 
