@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..llm.common import Scratch, map_rows
+from ..tables import Scratch, map_rows
 
 STOP = "Le La Les Un Une Des Du De Au Aux En Par Pour Sur Avec Dans Que Qui Ce Il Elle Ils Elles Nous Vous Leur Leurs Institut Article Seance Session Rapport Commission Projet Comite Membre Membres Monsieur Messieurs Madame".split()
 CAPITALISED = "(?U)\\b([A-ZÀÂÄÉÈÊËÎÏÔÖÙÛÜŸÆŒ][a-zA-ZÀ-ÿ-]{3,})\\b"
