@@ -110,12 +110,16 @@ def multiple_spaces(text: Column, least: int = 2, keep_indent: bool = False) ->
 
 
 def trim_lines(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, "(?m)^[ \\t]+", ""), "(?m)[ \\t]+$", "")
+    return F.regexp_replace(text, "(?m)^[ \\t]+|[ \\t]+$", "")
 
 
 def spaces(text: Column, keep_indent: bool = False) -> Column:
-    out = multiple_spaces(space_characters(text), keep_indent=keep_indent)
-    return out if keep_indent else trim_lines(out)
+    """Line by line, but in passes over the whole text, each made only where it has something to do."""
+    if keep_indent:
+        return multiple_spaces(space_characters(text), keep_indent=True)
+    out = let(space_characters(text), lambda t: guarded(t, "[\\r\\x0B\\x0C\\x1C-\\x1E\\x85\\u2028\\u2029]|\\n\\z", lambda x: F.regexp_replace(F.regexp_replace(x, f"(?:{LINE_ENDS})\\z", ""), LINE_ENDS, "\n")))
+    out = let(out, lambda t: F.when(F.contains(t, F.lit("  ")), F.regexp_replace(t, " {2,}", " ")).otherwise(t))
+    return let(out, lambda t: guarded(t, "(?m)^[ \\t]|[ \\t]$", trim_lines))
 
 
 # R06: endings that stand for the ordinal "e" after a number, in order; then the particular ones.
@@ -136,7 +140,10 @@ def ordinal_rules(roman: bool = False) -> list[Rule]:
 
 
 def ordinals(text: Column, roman: bool = False) -> Column:
-    return guarded(text, "[0-9™]|lr|lR" + (f"|{ROMAN}(?:i?[eè]me|me)" if roman else ""), lambda t: fold(ordinal_rules(roman), t))
+    """The rules run where one search finds a place for any of them; a number alone is none."""
+    ends = "|".join((*E_ENDINGS, *MISREAD, "lre?", "ere", "ère", "™", "ME", "do"))
+    place = f"[\\p{{Nd}}](?:{ends})|I[\\p{{Nd}}]{{3}}|(?<![a-zA-Z0-9])lre?(?![a-zA-Z])|lRr" + (f"|{ROMAN}(?:i?[eè]me|me)" if roman else "")
+    return guarded(text, place, lambda t: fold(ordinal_rules(roman), t))
 
 
 def exponents(text: Column) -> Column:
@@ -273,7 +280,7 @@ def positional_changes(a: Column, b: Column) -> Column:
 
 
 def character_counts(text: Column, characters: dict[str, str]) -> Column:
-    return F.struct(*(regex_count(text, f"\\x{{{ord(c):x}}}").alias(name) for name, c in characters.items()))
+    return F.struct(*((F.length(text) - F.length(F.translate(text, c, ""))).alias(name) for name, c in characters.items()))
 
 
 APOSTROPHE_NAMES = {"curly": "’", "opening": "‘", "reversed": "‛", "grave": "`", "straight": "'"}
@@ -322,6 +329,29 @@ def _differences(v: Column) -> Column:
     return F.filter(placed, lambda p: p["before"] != p["after"])  # a token without a partner compares as null
 
 
+def details(text: Column, pattern: str, reach: int = 35) -> Column:
+    """AUD1: (start, line, found, context) of every match of a pattern, with `reach` characters around it; offsets are code points."""
+    import re
+
+    import pandas as pd
+
+    regex = re.compile(pattern)
+
+    @F.pandas_udf("array<struct<start:int,line:int,found:string,context:string>>")
+    def found(texts):
+        out = []
+        for t in texts:
+            rows, line, at = [], 1, 0
+            for m in regex.finditer(t or ""):
+                line, at = line + t.count("\n", at, m.start()), m.start()
+                rows.append({"start": at, "line": line, "found": m[0], "context": t[max(0, at - reach) : m.end() + reach]})
+            out.append(rows)
+        return pd.Series(out)
+
+    found.func.__annotations__ = {}
+    return found(text)
+
+
 def token_count(text: Column) -> Column:
     """STR7"""
     return F.size(F.regexp_extract_all(text, F.lit("\\S+"), F.lit(0)))

@@ -277,3 +277,32 @@ def report(rows: DataFrame, columns: list[str]) -> DataFrame:
     """ENT19: (field, value, n) in one pass over the rows."""
     pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in columns)))
     return rows.select(pairs.alias("p")).groupBy("p.field", "p.value").agg(F.count("*").alias("n"))
+
+
+def retried(ask, attempts: int = 3, wait: float = 0.0):
+    """ENT16: the injected call, asked again after an error, `attempts` times at most; the last error is the answer's error."""
+    import time
+
+    def call(prompt: str) -> tuple[str | None, str | None]:
+        error = None
+        for k in range(attempts):
+            try:
+                return ask(prompt), None
+            except Exception as e:  # any failure of the injected call counts as an attempt
+                error = f"{type(e).__name__}: {e}"
+                if wait and k + 1 < attempts:
+                    time.sleep(wait)
+        return None, error
+
+    return call
+
+
+def verified(sections: DataFrame, ask, instruction: str, most_words: int = 6000, attempts: int = 3) -> DataFrame:
+    """TOC10: (section_id, response, error) of an injected verifier, asked for each section with the instruction and at most `most_words` words of its text."""
+    schema = pa.schema([("section_id", pa.string()), ("response", pa.string()), ("error", pa.string())])
+
+    def make():
+        call = retried(ask, attempts)
+        return lambda i, t: [(i, *call(instruction + "\n\n" + " ".join((t or "").split()[:most_words])))]
+
+    return map_rows(sections.select(F.col("section_id").cast("string").alias("section_id"), "raw_text"), ["section_id", "raw_text"], schema, "section_id string, response string, error string", make)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -27,6 +31,41 @@ def rebuild(stream: DataFrame, tok: str = "tok") -> DataFrame:
     return stream.groupBy("doc_id").agg(F.array_join(F.transform(ordered, lambda x: x["t"]), "").alias("text"))
 
 
+#: Most rows of a map (old, new) that is broadcast; a larger one is joined.
+MAP_ROWS = 1_000_000
+
+
+def replaced(df: DataFrame, mapping: DataFrame, pattern: str, old: Column, key: Callable[[str], str], put: Callable[[str, str, str], str] = lambda tok, old, new: new) -> DataFrame:
+    """df with every token of the text (a match of the pattern) whose key is mapped replaced by put(token, old, new), all rows and columns kept.
+
+    A map of at most MAP_ROWS rows goes to the executors, and each text is rewritten where it is. For a larger map the distinct
+    tokens alone are joined (`old` is the key as a column of tok), and each text gets the part of the map that it needs.
+    """
+    regex = re.compile(pattern, re.ASCII)
+    pairs = mapping.select("old", "new").dropDuplicates(["old"])
+
+    def rewrite(text: str | None, known: dict[str, str]) -> str | None:
+        return None if text is None else regex.sub(lambda m: put(m[0], k, known[k]) if (k := key(m[0])) in known else m[0], text)
+
+    if pairs.limit(MAP_ROWS + 1).count() <= MAP_ROWS:
+        held = df.sparkSession.sparkContext.broadcast({r["old"]: r["new"] for r in pairs.toLocalIterator()})
+
+        @F.pandas_udf("string")
+        def small(texts: pd.Series) -> pd.Series:
+            return texts.map(lambda t: rewrite(t, held.value), na_action="ignore")
+
+        return df.withColumn("text", small("text"))
+
+    @F.pandas_udf("string")
+    def large(texts: pd.Series, olds: pd.Series, news: pd.Series) -> pd.Series:
+        return pd.Series([rewrite(t, {} if o is None else dict(zip(o, n, strict=True))) for t, o, n in zip(texts, olds, news, strict=True)], dtype=object)
+
+    digest = F.xxhash64("text")
+    asked = df.select(digest.alias("_digest"), F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))).alias("tok")).distinct()
+    found = asked.join(pairs, old == F.col("old")).groupBy("_digest").agg(F.collect_list("old").alias("_olds"), F.collect_list("new").alias("_news"))
+    return df.join(found, digest == F.col("_digest"), "left").withColumn("text", large("text", "_olds", "_news")).drop("_digest", "_olds", "_news")
+
+
 def derive(df: DataFrame, least_documents: int) -> DataFrame:
     """A lexicon from the texts: forms in at least so many documents."""
     words = df.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"({LETTER}+)"), F.lit(1)))).alias("form"))
@@ -44,14 +83,13 @@ def known(words: DataFrame, lexicon: DataFrame, column: str) -> DataFrame:
 
 
 def commas(df: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """R10: a blank after a comma between two known words that aren't both of at most two letters."""
-    parts = df.select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(f"({LETTER}+,{LETTER}+|[\\s\\S])"), F.lit(1))).alias("pos", "tok"))
-    pair = F.col("tok").rlike(f"^{LETTER}+,{LETTER}+$")
-    left, right = F.substring_index("tok", ",", 1), F.substring_index("tok", ",", -1)
-    pairs = parts.filter(pair).select("tok").distinct().withColumns({"a": left, "b": right})
+    """R10: a blank after a comma between two known words that aren't both of at most two letters. Only pairs around commas leave the texts."""
+    pattern = f"{LETTER}+,{LETTER}+"
+    pairs = df.select(F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("tok")).distinct()
+    pairs = pairs.withColumns({"a": F.substring_index("tok", ",", 1), "b": F.substring_index("tok", ",", -1)})
     pairs = known(known(pairs, lexicon, "a").withColumnRenamed("known", "ka"), lexicon, "b")
     fixed = pairs.filter("ka AND known AND NOT (length(a) <= 2 AND length(b) <= 2)").select(F.col("tok").alias("old"), F.concat("a", F.lit(", "), "b").alias("new"))
-    return rebuild(parts.join(fixed, F.col("tok") == F.col("old"), "left").withColumn("tok", F.coalesce("new", "tok")).select("doc_id", "pos", "tok"))
+    return replaced(df, fixed, pattern, F.col("tok"), lambda tok: tok)
 
 
 def splits(words: DataFrame, lexicon: DataFrame, blacklist: list[str] | None = None, most: int = 5) -> DataFrame:
@@ -72,10 +110,22 @@ def splits(words: DataFrame, lexicon: DataFrame, blacklist: list[str] | None = N
     return cut.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most).select("word", "first", "rest", "place")
 
 
-def apply_map(df: DataFrame, mapping: DataFrame, pattern: str = "(\\S+|\\s+)") -> DataFrame:
-    """LEX4, LEV5: tokens whose lower form is mapped (old, new) are replaced, the rest stays."""
-    stream = tokens(df, pattern)
-    return rebuild(stream.join(mapping.select("old", "new"), F.lower("tok") == F.col("old"), "left").withColumn("tok", F.coalesce("new", "tok")).select("doc_id", "pos", "tok"))
+def apply_map(df: DataFrame, mapping: DataFrame, pattern: str = "\\S+|\\s+") -> DataFrame:
+    """LEX4, LEV5: tokens whose lower form is mapped (old, new) are replaced, the rest stays, empty texts too."""
+    return replaced(df, mapping, pattern, F.lower("tok"), str.lower)
+
+
+def proposals(splits: DataFrame, decided: DataFrame) -> DataFrame:
+    """LEX4: (old, new) from the proposals (word, first, rest, place) and the table of decisions (word, verdict, result): a
+    refused word stays, a corrected one takes the correction, an accepted or undecided one its first proposal."""
+    first = splits.filter("place = 1").select("word", F.concat_ws(" ", "first", "rest").alias("split"))
+    joined = first.join(decided.select("word", "verdict", "result"), "word", "left").filter("verdict IS NULL OR verdict <> 'refuse'")
+    return joined.select(F.col("word").alias("old"), F.when(F.col("verdict") == "correct", F.col("result")).otherwise(F.col("split")).alias("new"))
+
+
+def gated(near: DataFrame, most_auto: int = 1) -> DataFrame:
+    """LEV6: of the corrections (word, correction, distance), those up to `most_auto` edits are applied (`auto`), the others go to a reader (`review`)."""
+    return near.withColumn("regime", F.when(F.col("distance") <= most_auto, "auto").otherwise("review"))
 
 
 def contexts(df: DataFrame, reach: int = 3) -> DataFrame:
@@ -141,11 +191,16 @@ def unknown_forms(df: DataFrame, lexicon: DataFrame, least: int = 2, most: int =
 
 def learned_corrections(df: DataFrame, model: DataFrame) -> DataFrame:
     """UNK9: the token without its punctuation, lower, is looked up (old, new); the first occurrence in the raw token is replaced."""
-    stream = tokens(df).withColumn("clean", F.lower(F.trim(F.translate("tok", PUNCTUATION, ""))))
-    joined = stream.join(model.select("old", "new"), F.col("clean") == F.col("old"), "left")
-    at = F.expr("instr(tok, old)")
-    new = F.when(F.col("old").isNotNull() & (at > 0), F.concat(F.expr("substring(tok, 1, instr(tok, old) - 1)"), "new", F.expr("substring(tok, instr(tok, old) + length(old))"))).otherwise(F.col("tok"))
-    return rebuild(joined.withColumn("tok", new).select("doc_id", "pos", "tok"))
+    away = str.maketrans("", "", PUNCTUATION)
+    clean = F.lower(F.trim(F.translate("tok", PUNCTUATION, "")))
+    return replaced(df, model, "\\S+", clean, lambda tok: tok.translate(away).lower(), lambda tok, old, new: tok.replace(old, new, 1))
+
+
+def of_language(df: DataFrame, stop_words: list[str], least: float = 0.1, text: str = "text") -> DataFrame:
+    """UNK6: adds `in_language`: at least that share of a text's words are the language's function words."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(f"({LETTER}+)"), F.lit(1))
+    hits = F.size(F.filter(words, lambda w: w.isin(stop_words)))
+    return df.withColumn("in_language", (F.size(words) > 0) & (hits >= F.size(words) * F.lit(least)))
 
 
 def osa(a: str, b: str, swap: int = 1, most: int = 2) -> int:

@@ -107,6 +107,21 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     return out.withColumn("t", F.col("rho") * F.sqrt((F.col("n") - 2) / F.greatest(1 - F.col("rho") * F.col("rho"), F.lit(1e-300))))
 
 
+def spearman_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
+    """STA2, STA3: (a, b, n, rho, p) of all pairs of columns, over the rows where all of them are given."""
+    d = df.select(*columns).dropna()
+    for c in columns:
+        d = d.join(average_ranks(d, c), c)
+    pairs = [(a, b) for a in columns for b in columns]
+    row = d.agg(F.count("*").alias("n"), *(F.corr(f"{a}_rank", f"{b}_rank").alias(f"r{k}") for k, (a, b) in enumerate(pairs))).first()
+    out = []
+    for k, (a, b) in enumerate(pairs):
+        n, rho = row["n"], row[f"r{k}"]
+        given = rho is not None and n > 2
+        out.append((a, b, n, rho, (t_two_sided(rho * math.sqrt((n - 2) / (1 - rho * rho)), n - 2) if rho * rho < 1 else 0.0) if given else None))
+    return df.sparkSession.createDataFrame(out, "a string, b string, n long, rho double, p double")
+
+
 def _beta_fraction(a: float, b: float, x: float) -> float:
     """Continued fraction of the incomplete beta function (Lentz)."""
     tiny = 1e-300
@@ -231,7 +246,7 @@ def label_encode(df: DataFrame, column: str) -> DataFrame:
 
 def split(df: DataFrame, key: str, share: float = 0.7, seed: int = 42) -> DataFrame:
     """MLX2: `in_training` by a hash of the key, the same on every run."""
-    return df.withColumn("in_training", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1000)) < int(share * 1000))
+    return df.withColumn("in_training", F.conv(F.substring(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), 1, 8), 16, 10).cast("long") % 1000 < int(share * 1000))
 
 
 def decision_tree(df: DataFrame, features: list[str], label: str, key: str, depth: int = 5):

@@ -23,7 +23,7 @@ THEMES = ("Travaux spécialement", "Publications spécialement", "Publications r
 
 def tolerant_int(s: Column) -> Column:
     """STR1: an integer with l, O and I read as digits."""
-    return F.expr("try_cast(x AS INT)") if s is None else F.translate(F.trim(s), "lOI", "101").try_cast("int")
+    return F.translate(F.trim(s), "lOI", "101").try_cast("int")
 
 
 def lines(df: DataFrame, text: str = "text") -> DataFrame:

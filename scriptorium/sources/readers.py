@@ -8,12 +8,14 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import normalize_unicode
+
 BLOCK = "id STRING, vpos INT, hpos INT, width INT, height INT, word_offset INT, word_count INT, font_size INT, text STRING"
 PRESS = f"processes ARRAY<STRING>, documents ARRAY<STRUCT<id:STRING, publication_date:STRING, publication_title:STRING, pages:ARRAY<STRUCT<id:STRING, width:INT, height:INT, blocks:ARRAY<STRUCT<{BLOCK.replace(' ', ':').replace(',:', ', ')}>>>>>>"
 
 
 def texts(spark: SparkSession, path: str, utf8_only: bool = False) -> DataFrame:
-    """SRC1: (path, text); bytes that aren't UTF-8 are read as Latin-1 unless utf8_only."""
+    """SRC1: (path, text); bytes that aren't UTF-8 are read as Latin-1 unless utf8_only. A file without any byte gives no row."""
     raw = spark.read.format("binaryFile").load(path).select("path", "content")
     good = F.expr("is_valid_utf8(CAST(content AS STRING))")
     other = F.lit(None).cast("string") if utf8_only else F.decode("content", "ISO-8859-1")
@@ -21,8 +23,8 @@ def texts(spark: SparkSession, path: str, utf8_only: bool = False) -> DataFrame:
 
 
 def lexicon(spark: SparkSession, path: str) -> DataFrame:
-    """SRC2: (form), trimmed, without blanks and repeats."""
-    return spark.read.text(path).select(F.trim("value").alias("form")).filter("form <> ''").distinct()
+    """SRC2: (form), trimmed, in normal form NFC, without blanks and repeats."""
+    return spark.read.text(path).select(normalize_unicode(F.trim("value")).alias("form")).filter("form <> ''").distinct()
 
 
 def abbreviation_list(spark: SparkSession, path: str) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import Scratch
+from scriptorium.tables import Scratch
 from scriptorium.operators import entities as E
 from scriptorium.operators import lexicon as L
 from scriptorium.operators import statistics as S

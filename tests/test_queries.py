@@ -2,21 +2,23 @@ import glob
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from scriptorium.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-CHEAP = ["r02_apostrophes", "r05_spaces", "r11_romans", "r12_references", "flagship", "cnt10_quotes", "lex4_apply", "str3_toc", "str6_islands", "toc6_pages", "ent13_entities", "ent17_upsert", "agg5_describe", "agg7_margins", "agg8_shares", "sta2_spearman", "sta4_chi_square", "sta9_histogram", "sta10_box", "nst1_nested"]
+#: Held against their SQL by the driver and on larger tables only.
+SLOW = {"rp_chain", "aud4_summary", "unk8_export"}
 
 
 def rows(df):
-    cells = lambda v: "" if v is None or v != v else repr(float(v)) if isinstance(v, float) else str(v)
+    cells = lambda v: "" if v is None or v is pd.NA or v != v else repr(float(v)) if isinstance(v, float) else str(v)
     columns = sorted(df.columns)
     return sorted("|".join(cells(v) for v in r) for r in df[columns].astype(object).itertuples(index=False))
 
 
-@pytest.mark.parametrize("name", CHEAP)
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - SLOW))
 def test_query_matches_its_sql(spark, name):
     con = duckdb.connect()
     for p in glob.glob(f"{SF}/*.parquet"):
@@ -24,6 +26,7 @@ def test_query_matches_its_sql(spark, name):
     got, wanted = QUERIES[name](spark, SF).toPandas(), con.sql(ORACLES[name]).df()
     assert sorted(got.columns) == sorted(wanted.columns)
     assert rows(got) == rows(wanted)
+    assert len(got)
     if "changed" in got:
         assert got["changed"].sum() > 0
 
