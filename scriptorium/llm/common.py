@@ -1,15 +1,14 @@
-"""What the training-data operators share: table access, scratch tables, text slices."""
+"""What the training-data operators share: table access, words, joins on hot keys."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..tables import Scratch, map_rows, slices, to_batch
+
+__all__ = ["BLANKS", "Scratch", "join_skewed", "map_rows", "slices", "table", "to_batch", "words"]
+
 #: ASCII blanks that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\u000b\f\r"
 WORD_GAP = "[\\x20\\x09-\\x0D]+"
@@ -21,37 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFram
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; on a local master (tests) one of our own where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("scriptorium.scratch", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = f"file://{tempfile.mkdtemp(prefix='scriptorium-')}"
-        spark.conf.set("scriptorium.scratch", found)
-    return found.rstrip("/")
-
-
-class Scratch:
-    """Written tables that cut the lineage and outlive executors; `drop` removes those no longer read."""
-
-    def __init__(self, spark: SparkSession, tag: str) -> None:
-        self.spark, self.base, self.paths = spark, f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}", {}
-
-    def save(self, df: DataFrame) -> DataFrame:
-        path = f"{self.base}/{len(self.paths)}-{uuid.uuid4().hex[:6]}"
-        df.write.option("compression", "zstd").parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = (path, out)
-        return out
-
-    def drop(self, df: DataFrame) -> None:
-        path, _ = self.paths.pop(id(df))
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def join_skewed(left: DataFrame, right: DataFrame, on: list[str], rows: int) -> DataFrame:
     """Inner join of left with right, a table of distinct keys whose column c counts left's rows of the key.
 
@@ -68,34 +36,3 @@ def words(text: Column) -> Column:
     """Words of a text, split at runs of ASCII blanks; null and blank texts have none."""
     bare = F.trim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
     return F.when(F.length(bare) == 0, F.array().cast("array<string>")).otherwise(F.split(bare, WORD_GAP))
-
-
-def slices(column: pa.Array, step: int = 512) -> Iterator:
-    """Python values of an Arrow column, converted a slice at a time."""
-    for at in range(0, len(column), step):
-        yield from column.slice(at, step).to_pylist()
-
-
-def map_rows(df: DataFrame, columns: list[str], schema: pa.Schema, ddl: str, make: Callable[[], Callable]) -> DataFrame:
-    """Maps rows through make()(value, ...) -> iterable of tuples, in Arrow batches of bounded size.
-
-    `make` runs once in each task, so that automata, tables and models are built there.
-    """
-
-    def run(batches):
-        each = make()
-        for batch in batches:
-            rows = []
-            for values in zip(*(slices(batch.column(c)) for c in columns), strict=True):
-                rows.extend(each(*values))
-                if len(rows) >= 4096:
-                    yield to_batch(rows, schema)
-                    rows = []
-            if rows:
-                yield to_batch(rows, schema)
-
-    return df.select(*columns).mapInArrow(run, ddl)
-
-
-def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), schema, strict=True)], schema=schema)

@@ -1,8 +1,8 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Examples are at most SAMPLE labelled rows (those of the least hash of the id, held-out ids never),
-and at most POSTINGS distinct terms of them in all. Terms are folded words and the first FRONT letters of longer
-words; every term of every example is in the vocabulary and every example in the index. A weight
+and at most POSTINGS distinct terms of them in all. Terms are folded words, cut to their first FRONT
+letters; every term of every example is in the vocabulary and every example in the index. A weight
 is (1 + log tf) * idf * (1 + BOOST * phi^2): sublinear tf, smoothed idf, and the square of
 the term's correlation with the label (shrunk where it rests on few rows), which lets terms that tell
 the labels apart count for more; no term is left out.
@@ -12,7 +12,8 @@ each term keeps its largest weight in each block. The DENSE commonest terms have
 a matrix, so that a product gives their part of the cosine for a batch of queries. A query's bound
 on a block is the largest such part in the block plus the dot product of its other terms with their
 maxima; blocks are opened in order of falling bound, in growing rounds, and the search stops
-when no closed block can reach the k-th best cosine, so that the K neighbours are exact.
+when no closed block can reach the k-th best cosine, so that the K neighbours are exact (to SLACK:
+the matrix holds 32-bit floats, and cosines are compared at six decimals).
 
 The K neighbours vote with their cosine as weight, against PRIOR votes for the training share;
 isotonic regression on leave-one-out votes of the examples (cast on the executors) turns votes
@@ -40,18 +41,17 @@ from pyspark.sql import functions as F
 from .common import Scratch, slices
 from .quality_model import held_out, training
 
-SAMPLE, POSTINGS, FRONT, BOOST, DENSE, BLOCK, K, PRIOR, THRESHOLD = 8_000, 12_000_000, 5, 100.0, 512, 32, 8, 0.5, 0.3
-FIRST_ROUND, BATCH, SHRINK = 12, 64, 20.0
+SAMPLE, POSTINGS, FRONT, BOOST, DENSE, BLOCK, K, PRIOR, THRESHOLD = 8_000, 12_000_000, 7, 100.0, 512, 32, 8, 0.5, 0.3
+FIRST_ROUND, BATCH, SHRINK, SLACK = 12, 64, 20.0, 2e-6
 
 
 def terms(text: str | None) -> Counter:
-    """Folded words without outer punctuation, and the fronts of longer ones (marked by a bar)."""
-    words = Counter(w.strip(".,;:!?\"'()|#$%&*") for w in (text or "").lower().split())
-    words.pop("", None)
-    for w, n in list(words.items()):
-        if len(w) > FRONT:
-            words[w[:FRONT] + "|"] += n
-    return words
+    """Folded words without outer punctuation, cut to FRONT characters."""
+    out: Counter = Counter()
+    for w, n in Counter((text or "").lower().split()).items():
+        out[w.strip(".,;:!?\"'()|#$%&*")[:FRONT]] += n
+    out.pop("", None)
+    return out
 
 
 def ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -90,14 +90,10 @@ class Index:
         self.weight = (np.log((1 + n) / (1 + df)) + 1) * (1 + BOOST * phi2)
         w = (1 + np.log(tf)) * self.weight[t]
         w /= np.sqrt(np.bincount(e, w * w, n))[e]
-        # The commonest terms' numbers in the matrix; -1: the term has blocks.
-        common = np.lexsort((np.arange(len(df)), -df))[:DENSE]
-        self.row = np.full(len(vocabulary), -1, np.int64)
-        self.row[common] = np.arange(len(common))
-        in_row = self.row[t] >= 0
-        dense = np.zeros((n, len(common)))
-        dense[e[in_row], self.row[t[in_row]]] = w[in_row]
         # Alike examples go to the same block: by cluster of their common terms, label, and heaviest term.
+        row, common = self.common(df)
+        dense, in_row = np.zeros((n, len(common))), row[t] >= 0
+        dense[e[in_row], row[t[in_row]]] = w[in_row]
         heaviest = np.zeros(n, np.int64)
         by = np.lexsort((t, w, e))
         last = np.flatnonzero(np.diff(np.append(e[by], n)))
@@ -106,12 +102,27 @@ class Index:
         place = np.empty(n, np.int64)
         place[order] = np.arange(n)
         self.y, self.ids, self.n, self.blocks = y[order].astype(float), ids[order], n, -(-n // BLOCK)
-        e = place[e]
-        self.dense = np.zeros((len(common), self.blocks * BLOCK))
-        self.dense[:, :n] = dense[order].T
+        by = np.lexsort((place[e], t))
+        self.arrange(t[by], place[e][by], tf[by], df)
+
+    @staticmethod
+    def common(df: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each term's row in the matrix (-1: it has blocks), and the terms of the rows."""
+        common = np.lexsort((np.arange(len(df)), -df))[:DENSE]
+        row = np.full(len(df), -1, np.int64)
+        row[common] = np.arange(len(common))
+        return row, common
+
+    def arrange(self, t: np.ndarray, e: np.ndarray, tf: np.ndarray, df: np.ndarray) -> None:
+        """Matrix, blocks and maxima from the postings, which are sorted by term and example."""
+        self.postings = (df.astype(np.int32), e.astype(np.min_scalar_type(max(1, self.n))), tf.astype(np.min_scalar_type(int(tf.max(initial=0)))))
+        w = (1 + np.log(tf)) * self.weight[t]
+        w /= np.sqrt(np.bincount(e, w * w, self.n))[e]
+        self.row, common = self.common(df)
+        in_row = self.row[t] >= 0
+        self.dense = np.zeros((len(common), self.blocks * BLOCK), np.float32)
+        self.dense[self.row[t[in_row]], e[in_row]] = w[in_row]
         t, e, w = t[~in_row], e[~in_row], w[~in_row]
-        by = np.lexsort((e, t))
-        t, e, w = t[by], e[by], w[by]
         self.examples, self.weights = e.astype(np.int32), w
         # Entries: a term's postings in a block; `entry` has the first posting of each, `first` the first entry of each term.
         new = np.ones(len(t), bool)
@@ -120,26 +131,36 @@ class Index:
         self.entry = np.append(at, len(t))
         self.block = (e[at] // BLOCK).astype(np.int32)
         self.most = np.maximum.reduceat(w, at) if len(at) else np.zeros(0)
-        self.first = np.searchsorted(t[at], np.arange(len(vocabulary) + 1))
+        self.first = np.searchsorted(t[at], np.arange(len(self.term) + 1))
+
+    def __getstate__(self):
+        """What is broadcast: counts only; the arrays are made again where they are used."""
+        return "\n".join(self.term), self.weight, self.y, self.ids, self.n, self.blocks, self.share, self.postings
+
+    def __setstate__(self, state) -> None:
+        said, self.weight, self.y, self.ids, self.n, self.blocks, self.share, (df, e, tf) = state
+        self.term = {t: k for k, t in enumerate(said.split("\n") if said else [])}
+        self.arrange(np.repeat(np.arange(len(df)), df), e.astype(np.int64), tf.astype(float), df)
 
     def vector(self, bag: Counter) -> tuple[np.ndarray, np.ndarray]:
-        found = sorted((self.term[t], n) for t, n in bag.items() if t in self.term)
-        t = np.array([k for k, _ in found], np.int64)
-        w = (1 + np.log(np.array([n for _, n in found], float))) * self.weight[t] if found else np.zeros(0)
-        return t, w / np.sqrt((w * w).sum()) if found else w
+        """(terms, weights); terms that no example has are left out."""
+        get = self.term.get
+        t, n = np.array([get(x, -1) for x in bag], np.int64), np.fromiter(bag.values(), float, len(bag))
+        t, n = t[t >= 0], n[t >= 0]
+        w = (1 + np.log(n)) * self.weight[t]
+        return t, w / np.sqrt((w * w).sum()) if len(t) else w
 
     def examples_vectors(self):
         """Each example's number -> its terms and weights."""
-        t = np.repeat(np.arange(len(self.first) - 1), self.entry[self.first[1:]] - self.entry[self.first[:-1]])
-        by = np.argsort(self.examples, kind="stable")
-        edge = np.searchsorted(self.examples[by], np.arange(self.n + 1))
-        common = np.flatnonzero(self.row >= 0)
-        common = common[np.argsort(self.row[common])]
+        df, e, tf = self.postings
+        by = np.argsort(e, kind="stable")
+        t, e, tf = np.repeat(np.arange(len(df)), df)[by], e[by], tf[by]
+        edge = np.searchsorted(e, np.arange(self.n + 1))
 
         def vector(k: int) -> tuple[np.ndarray, np.ndarray]:
-            own, column = by[edge[k] : edge[k + 1]], self.dense[:, k]
-            rows = np.flatnonzero(column)
-            return np.concatenate((t[own], common[rows])), np.concatenate((self.weights[own], column[rows]))
+            own = slice(edge[k], edge[k + 1])
+            w = (1 + np.log(tf[own].astype(float))) * self.weight[t[own]]
+            return t[own], w / np.sqrt((w * w).sum())
 
         return vector
 
@@ -149,14 +170,14 @@ class Index:
         out = []
         for at in range(0, len(queries), BATCH):
             part = queries[at : at + BATCH]
-            q = np.zeros((len(part), len(self.dense)))
+            q = np.zeros((len(part), len(self.dense)), np.float32)
             for i, (t, w) in enumerate(part):
                 rows = self.row[t]
                 q[i, rows[rows >= 0]] = w[rows >= 0]
             known = q @ self.dense
             for i, (t, w) in enumerate(part):
                 rare = self.row[t] < 0
-                out.append(self.search(known[i], t[rare], w[rare], k, without[at + i] if without else -1, opened))
+                out.append(self.search(known[i].astype(float), t[rare], w[rare], k, without[at + i] if without else -1, opened))
         return out
 
     def search(self, cosine: np.ndarray, t: np.ndarray, w: np.ndarray, k: int, without: int, opened: list[int] | None) -> list[tuple[float, int]]:
@@ -166,9 +187,9 @@ class Index:
         block = self.block[entries]
         if without >= 0:
             cosine[without] = -1e9
-        bounds = np.bincount(block, weight * self.most[entries], self.blocks) + cosine.reshape(-1, BLOCK).max(1, initial=0) + 1e-9
+        bounds = np.bincount(block, weight * self.most[entries], self.blocks) + cosine.reshape(-1, BLOCK).max(1, initial=0) + SLACK
         order = np.argsort(-bounds, kind="stable")
-        best, value, floor, at, step = np.zeros(0, np.int64), np.zeros(0), 1e-9, 0, FIRST_ROUND
+        best, value, floor, at, step = np.zeros(0, np.int64), np.zeros(0), SLACK, 0, FIRST_ROUND
         while at < len(order) and bounds[order[at]] > floor:
             chosen = order[at : at + step]
             chosen = chosen[bounds[chosen] > floor]
@@ -181,10 +202,10 @@ class Index:
             part = part + cosine.reshape(-1, BLOCK)[chosen]
             hit = np.flatnonzero(part.ravel() > floor)
             best = np.concatenate((best, chosen[hit // BLOCK] * BLOCK + hit % BLOCK))
-            value = np.concatenate((value, part.ravel()[hit].round(10)))
+            value = np.concatenate((value, part.ravel()[hit].round(6)))
             take = np.lexsort((best, -value))[:k]
             best, value = best[take], value[take]
-            floor = max(1e-9, value[-1] - 1e-9) if len(best) == k else 1e-9
+            floor = max(SLACK, value[-1] - SLACK) if len(best) == k else SLACK
             at, step = at + len(chosen), step * 8
         if opened is not None:
             opened.append(at)
