@@ -14,6 +14,7 @@ PASSAGES = (
     "19 Août 1875 Aoùt aoùt  MM Asser pp 438 n° 59 St-Pétersbourg etc vol 3 art 5 cf Dr Mme Mlles ibid op cit t IV Mars Décembre",
     'T. Il, pp. 179 T. Vit, 1875 Vil VIL T.VI, pp.582 et ss, ou et ss; puis et ss. pp.118 in-8" 670 OEUVRE Oeuvre oeuvre coeur voeux\n\n"5 fin\n\n2" suite',
     "nous;justifier 10:30 venir.La Belgique , fin ! ok : oui  double   triple insécable membres,les T. II et coeurs 3eme",
+    "cafe\u0301 mot\u200bmot \ufeffIntroduction\u0007 gauche\tdroite 1er 1re 3e fin",
 )
 
 
