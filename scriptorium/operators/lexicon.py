@@ -9,8 +9,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ..functions.text import LETTER
+from ..tables import Scratch
 
 FUNCTION_WORDS = "le la les du de des un une et ou au aux en dans par pour sur avec ce cet ces mon ton son mes tes ses nos vos".split()
 PUNCTUATION = ".,;:!?()[]{}«»\"‘’'`*_–—…/\\|@#$%^&+=<>~°•·"
@@ -177,16 +179,31 @@ def compounds(words: DataFrame, lexicon: DataFrame, sign: str = "-") -> DataFram
     return words.join(ok, F.col("word") == F.col("_ok"), "left").withColumn("valid", F.col("_ok").isNotNull()).drop("_ok")
 
 
+#: More places than a text has tokens, and a number below every doc_id.
+PLACES, NO_DOCUMENT = str(1 << 31), str(-(1 << 63) - 1)
+
+
 def unknown_forms(df: DataFrame, lexicon: DataFrame, least: int = 2, most: int = 10) -> DataFrame:
-    """UNK7, UNK8: (form, n, first_doc, first_pos) of unknown lower-case forms, most frequent first in the order of the export."""
+    """UNK7, UNK8: (form, n, first_doc, first_pos) of unknown lower-case forms, most frequent first in the order of the export.
+
+    The texts are read once: raw tokens are counted before they are cleaned and tested, and what the lexicon is asked about is written.
+    """
+    scratch, kind = Scratch(df.sparkSession, "unknown"), df.schema["doc_id"].dataType
     stream = df.select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit("(?U)([\\w'][\\w'-]{2,})"), F.lit(1))).alias("pos", "raw"))
-    w = F.trim(F.translate("raw", PUNCTUATION.replace("'", ""), ""))
-    stream = stream.withColumn("word", w).filter((F.lower("word") == F.col("word")) & ~numeric(F.col("word")) & ~structural(F.col("word")) & ~foreign(F.col("word")))
-    counts = stream.groupBy("word").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "pos")).alias("first"))
-    rare = counts.filter(F.col("n").between(least, most))
-    rare = known(rare, lexicon, "word").filter("NOT known").drop("known")
-    rare = compounds(compounds(rare, lexicon).filter("NOT valid").drop("valid"), lexicon, "'").filter("NOT valid").drop("valid")
-    return rare.select(F.col("word").alias("form"), "n", F.col("first.doc_id").alias("first_doc"), F.col("first.pos").alias("first_pos"))
+    first, doc, pos = F.struct("doc_id", "pos"), F.col("first.doc_id"), F.col("first.pos")
+    if isinstance(kind, IntegralType):  # as one number: a least struct would have all tokens sorted
+        first = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(NO_DOCUMENT).cast("decimal(20,0)")) * F.lit(PLACES).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")
+        pos = F.expr(f"pmod(first, cast({PLACES} AS decimal(10,0)))")
+        doc = F.nullif(((F.col("first") - pos) / F.lit(PLACES).cast("decimal(10,0)")).cast("decimal(20,0)"), F.lit(NO_DOCUMENT).cast("decimal(20,0)")).cast(kind)
+    raws = stream.groupBy("raw").agg(F.count("*").alias("n"), F.min(first).alias("first"))
+    raws = raws.withColumn("word", F.trim(F.translate("raw", PUNCTUATION.replace("'", ""), "")))
+    raws = raws.filter((F.lower("word") == F.col("word")) & ~numeric(F.col("word")) & ~structural(F.col("word")) & ~foreign(F.col("word")))
+    rare = scratch.save(raws.groupBy("word").agg(F.sum("n").alias("n"), F.min("first").alias("first")).filter(F.col("n").between(least, most)))
+    lexicon = scratch.save(lexicon.select("form").distinct())
+    rare = scratch.save(known(rare, lexicon, "word").filter("NOT known").drop("known"))
+    rare = scratch.save(compounds(rare, lexicon).filter("NOT valid").drop("valid"))
+    rare = compounds(rare, lexicon, "'").filter("NOT valid").drop("valid")
+    return rare.select(F.col("word").alias("form"), "n", doc.alias("first_doc"), pos.cast("int").alias("first_pos"))
 
 
 def learned_corrections(df: DataFrame, model: DataFrame) -> DataFrame:

@@ -15,6 +15,35 @@ def lexicon(spark, *forms):
     return spark.createDataFrame([(f,) for f in forms], "form string")
 
 
+def read_once(spark, texts):
+    """(df, count): the texts as documents, and how many of them have been read so far."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def through(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return df.mapInArrow(through, df.schema), lambda: seen.value
+
+
+def test_unknown_forms_read_each_text_once(spark):
+    df, count = read_once(spark, ["zorglub zorglub l'inconnu porte-plume", "porte-plume zorglub aujou-demain", "aujou-demain l'inconnu maison maison"])
+    got = {tuple(r) for r in L.unknown_forms(df, lexicon(spark, "porte", "plume", "maison", "inconnu")).collect()}
+    assert got == {("zorglub", 3, 0, 0), ("aujou-demain", 2, 1, 2)}
+    assert count() == 3
+
+
+def test_unknown_forms_take_any_document_key(spark):
+    rows = [(None, "zorglub"), (-5, "zorglub"), (7, "glubzor"), (7, "x glubzor"), (-(1 << 63), "bizor"), (3, "aaa bizor")]
+    for kind in ("long", "string"):
+        df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("doc_id", F.col("doc_id").cast(kind))
+        got = {r.form: (r.first_doc, r.first_pos) for r in L.unknown_forms(df, lexicon(spark, "le")).collect()}
+        low = -(1 << 63) if kind == "long" else str(-(1 << 63))
+        assert got == {"zorglub": (None, 0), "glubzor": (7 if kind == "long" else "7", 0), "bizor": (low, 0)}
+
+
 def test_commas(spark):
     df = spark.createDataFrame([(1, "les membres,les autres"), (2, "Mancini,Asser")], "doc_id long, text string")
     got = {r.doc_id: r.text for r in L.commas(df, lexicon(spark, "membres", "les")).collect()}
