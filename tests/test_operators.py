@@ -1,6 +1,7 @@
 import math
 import random
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from scriptorium.tables import Scratch
@@ -62,6 +63,28 @@ def test_nearest(spark):
     assert got == {"acles": ("actes", 1), "driot": ("droit", 1)}
 
 
+def test_nearest_reads_its_words_once(spark):
+    df, count = read_once(spark, ["acles", "driot", "zzzzzz", "maisno"])
+    got = {tuple(r) for r in L.nearest(df.select(F.col("text").alias("word")), lexicon(spark, "actes", "droit", "maison", "maisons")).collect()}
+    assert got == {("acles", "actes", 1), ("driot", "droit", 1), ("maisno", "maison", 1)}
+    assert count() == 4
+
+
+def test_nearest_is_that_of_all_pairs(spark):
+    rnd = random.Random(5)
+    made = lambda k: sorted({"".join(rnd.choice("abé") for _ in range(rnd.randrange(1, 9))) for _ in range(k)})
+    words, forms = made(120), made(60)
+    want = set()
+    for w in words:
+        near = sorted((L.osa(w, f), f) for f in forms)
+        if near[0][0] <= 2 and near[1][0] > near[0][0]:
+            want.add((w, near[0][1], near[0][0]))
+    got = L.nearest(spark.createDataFrame([(w,) for w in words], "word string"), lexicon(spark, *forms)).collect()
+    assert {tuple(r) for r in got} == want and {d for _, _, d in want} >= {1, 2}
+    a, b = pd.Series([w for w in words for _ in forms]), pd.Series([f for _ in words for f in forms])
+    assert list(L.osa_many(a, b)) == [L.osa(x, y) for x, y in zip(a, b)]
+
+
 def test_tokens_are_lossless(spark):
     df = spark.createDataFrame([(1, " a  b\nc "), (2, "x")], "doc_id long, text string")
     assert {r.doc_id: r.text for r in L.rebuild(L.tokens(df)).collect()} == {1: " a  b\nc ", 2: "x"}
