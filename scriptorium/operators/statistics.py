@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..tables import Scratch
+
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """AGG5: a row for each numeric column, exact quartiles by linear interpolation."""
@@ -216,26 +218,66 @@ def density(df: DataFrame, column: str, points: int = 50) -> DataFrame:
     return row.select(F.explode(F.array(*(F.struct(F.lit(g).alias("x"), (F.col(f"d{i}") / scale).alias("density")) for i, g in enumerate(grid)))).alias("p")).select("p.*")
 
 
+#: Most points that one task smooths for.
+LOWESS_POINTS = 1000
+
+
 def lowess(df: DataFrame, x: str, y: str, by: str, share: float = 2 / 3) -> DataFrame:
-    """STA12: local linear smoothing with tricube weights, a group (`by`) at a time."""
+    """STA12: local linear smoothing with tricube weights within each group (`by`).
+
+    The smooth depends on x alone, and rows of one x weigh alike, so that it is computed from the count and sum of y of each x, for
+    LOWESS_POINTS points a task. Rows as far away as the farthest neighbour have no weight; only where a single x holds all the
+    neighbours, or lies within 1e-12 of them, does the order of y decide which rows count: there the y are added up in order.
+    """
     import numpy as np
     import pandas as pd
 
-    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["x", "y"]).reset_index(drop=True)
-        xs, ys, k = pdf["x"].to_numpy(), pdf["y"].to_numpy(), max(2, int(math.ceil(share * len(pdf))))
-        out = []
-        for v in xs:
-            near = np.argsort(np.abs(xs - v), kind="stable")[:k]
-            w = (1 - np.minimum(1, np.abs(xs[near] - v) / max(np.abs(xs[near] - v).max(), 1e-12)) ** 3) ** 3
-            sw, mx, my = w.sum(), (w * xs[near]).sum(), (w * ys[near]).sum()
-            var = (w * xs[near] ** 2).sum() - mx * mx / sw if sw else 0
-            slope = ((w * xs[near] * ys[near]).sum() - mx * my / sw) / var if var > 1e-12 else 0.0
-            out.append((my + slope * (v * sw - mx)) / sw if sw else ys[near].mean())
-        return pdf.assign(smooth=out)
-
+    scratch = Scratch(df.sparkSession, "lowess")
     d = df.select(F.col(by).cast("string").alias("grp"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
-    return d.groupBy("grp").applyInPandas(smooth, "grp string, x double, y double, smooth double")
+    cells = scratch.save(d.groupBy("grp", "x").agg(F.count("*").alias("n"), F.sum("y").alias("t")))
+    sizes = cells.groupBy("grp").agg(F.sum("n").alias("rows"), F.count("*").alias("points"))
+    spread = cells.join(sizes, "grp").withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.col("points") - 1) / LOWESS_POINTS))))
+    columns = "grp string, x double, smooth double, sw double, mx double, my double, xx double, xy double, edge double, held long, weight double"
+
+    def smooth(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("x")
+        xs, ns, ts = (pdf[c].to_numpy() for c in ("x", "n", "t"))
+        k, out = max(2, int(math.ceil(share * int(pdf["rows"].iloc[0])))), []
+        for at in range(int(key[1]) * LOWESS_POINTS, min(len(xs), (int(key[1]) + 1) * LOWESS_POINTS)):
+            v = xs[at]
+            away = np.abs(xs - v)
+            order = np.argsort(away, kind="stable")
+            upto = np.cumsum(ns[order])
+            last = int(min(np.searchsorted(upto, k), len(order) - 1))  # the x whose rows fill the neighbours up
+            far, whole, edge = away[order[last]], order[:last], order[last]
+            u = lambda a: (1 - np.minimum(1, a / max(far, 1e-12)) ** 3) ** 3
+            w, held, weight = u(away[whole]), int(min(k, upto[last]) - (upto[last] - ns[edge])), float(u(far))
+            a, b, n, t = w * ns[whole], w * ts[whole], xs[whole], weight * held
+            sums = (a.sum() + t, (a * n).sum() + t * xs[edge], b.sum(), (a * n**2).sum() + t * xs[edge] ** 2, (b * n).sum())
+            if weight and held == ns[edge]:
+                sums, weight = (*sums[:2], sums[2] + ts[edge], sums[3], sums[4] + ts[edge] * xs[edge]), 0.0
+            out.append((key[0], v, local_line(v, *sums), *sums, xs[edge], held, weight))
+        return pd.DataFrame(out, columns=columns.replace(" string", "").replace(" double", "").replace(" long", "").split(", "))
+
+    points = scratch.save(spread.groupBy("grp", "part").applyInPandas(smooth, columns))
+    partial = points.filter("weight > 0")
+    if not partial.isEmpty():
+        asked = partial.select("grp", F.col("edge").alias("x"), "held").distinct()
+        values = d.join(asked.select("grp", "x").distinct(), ["grp", "x"], "left_semi").groupBy("grp", "x", "y").agg(F.count("*").alias("c"))
+        before = values.withColumn("before", F.sum("c").over(W.partitionBy("grp", "x").orderBy("y")) - F.col("c"))
+        first = before.join(asked, ["grp", "x"]).filter("before < held").groupBy("grp", F.col("x").alias("edge"), "held").agg(F.sum(F.col("y") * F.least("c", F.col("held") - F.col("before"))).alias("s"))
+        line = F.udf(local_line, "double")
+        more = F.col("weight") * F.col("s")
+        partial = partial.join(first, ["grp", "edge", "held"]).withColumn("smooth", line("x", "sw", "mx", F.col("my") + more, "xx", F.col("xy") + more * F.col("edge")))
+        points = scratch.save(points.filter("weight = 0").select("grp", "x", "smooth").union(partial.select("grp", "x", "smooth")))
+    return d.join(points.select("grp", "x", "smooth"), ["grp", "x"]).select("grp", "x", "y", "smooth")
+
+
+def local_line(v: float, sw: float, mx: float, my: float, xx: float, xy: float) -> float:
+    """The weighted least squares line at v, level where x hardly varies."""
+    var = xx - mx * mx / sw
+    slope = (xy - mx * my / sw) / var if var > 1e-12 else 0.0
+    return float((my + slope * (v * sw - mx)) / sw)
 
 
 def label_encode(df: DataFrame, column: str) -> DataFrame:

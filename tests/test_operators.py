@@ -1,5 +1,6 @@
 import math
 import random
+import time
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -168,6 +169,40 @@ def test_tails_and_fisher():
     assert odds == 20 and math.isclose(p, 0.03496503496503495, rel_tol=1e-9)
 
 
+def whole_lowess(rows, share=2 / 3):
+    """Every row against every other of its group."""
+    out = []
+    for g in sorted({r[0] for r in rows}):
+        pts = sorted((x, y) for h, x, y in rows if h == g)
+        k = max(2, math.ceil(share * len(pts)))
+        for v, own in pts:
+            near = sorted(pts, key=lambda p: abs(p[0] - v))[:k]
+            far = max(max(abs(x - v) for x, _ in near), 1e-12)
+            w = [(1 - min(1, abs(x - v) / far) ** 3) ** 3 for x, _ in near]
+            sw, mx, my = sum(w), sum(a * x for a, (x, _) in zip(w, near)), sum(a * y for a, (_, y) in zip(w, near))
+            var = sum(a * x * x for a, (x, _) in zip(w, near)) - mx * mx / sw
+            slope = (sum(a * x * y for a, (x, y) in zip(w, near)) - mx * my / sw) / var if var > 1e-12 else 0.0
+            out.append((g, v, own, round((my + slope * (v * sw - mx)) / sw, 6)))
+    return sorted(out)
+
+
+def test_lowess_is_that_of_all_rows(spark, monkeypatch):
+    rnd = random.Random(2)
+    rows = [("many", float(rnd.randrange(12)), float(rnd.randrange(50))) for _ in range(150)]
+    rows += [("one", 4.0, float(k * k)) for k in range(7)] + [("heavy", 4.0, float(k * k % 17)) for k in range(9)] + [("heavy", 5.0, 3.0), ("single", 1.0, 2.0)]
+    rows += [("free", rnd.random() * 9, rnd.random()) for _ in range(60)]
+    monkeypatch.setattr(S, "LOWESS_POINTS", 5)
+    got = S.lowess(spark.createDataFrame(rows, "g string, a double, b double"), "a", "b", "g").collect()
+    assert sorted((r.grp, r.x, r.y, round(r.smooth, 6)) for r in got) == whole_lowess(rows)
+
+
+def test_lowess_of_a_large_group_takes_a_task_for_each_thousand_points(spark):
+    df = spark.range(200_000).select(F.lit("g").alias("g"), (F.col("id") % 50).alias("a"), (F.col("id") % 7919).alias("b"))
+    began = time.time()
+    assert S.lowess(df, "a", "b", "g").groupBy("x").agg(F.count_distinct("smooth").alias("n")).filter("n = 1").count() == 50
+    assert time.time() - began < 60  # row against row is 40,000 million weights
+
+
 def test_yates_and_cramer(spark):
     rows = [("a", "x")] * 10 + [("a", "y")] * 20 + [("b", "x")] * 30 + [("b", "y")] * 5
     r = S.chi_square(spark.createDataFrame(rows, "a string, b string"), "a", "b").first()
