@@ -11,14 +11,47 @@ from pyspark.sql import functions as F
 from ..tables import Scratch
 
 
+def quantiles(df: DataFrame, columns: list[str], shares: tuple[float, ...] = (0.25, 0.5, 0.75)) -> dict[str, list[float | None]]:
+    """Exact quantiles of each column by linear interpolation. Values are counted, the counts sorted by ranges, and only the ranges
+    that hold a wanted place are looked through, so that no task has all values of a column."""
+    scratch, parts = Scratch(df.sparkSession, "quantiles"), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.col(c).cast("double").alias("x")) for k, c in enumerate(columns))))
+    counts = df.select(pairs.alias("p")).select("p.*").filter("x IS NOT NULL").groupBy("k", "x").agg(F.count("*").alias("n"))
+    placed = scratch.save(counts.repartitionByRange(parts, "k", "x").sortWithinPartitions("k", "x").withColumn("at", F.monotonically_increasing_id()))
+    part = F.shiftright("at", 33).alias("part")
+    sizes = sorted(tuple(r) for r in placed.groupBy("k", part).agg(F.sum("n")).collect())
+    totals = {k: sum(n for j, _, n in sizes if j == k) for k in range(len(columns))}
+    at = {(k, p): (totals[k] - 1) * p for k in totals if totals[k] for p in shares}
+    wanted = sorted({(k, rank) for (k, _), x in at.items() for rank in (math.floor(x), math.ceil(x))})
+    asked, before = [], dict.fromkeys(totals, 0)
+    for k, p, n in sizes:
+        asked += [(k, p, before[k], rank) for j, rank in wanted if j == k and before[k] <= rank < before[k] + n]
+        before[k] += n
+    found: dict[tuple[int, int], float] = {}
+    if asked:
+        ranks = df.sparkSession.createDataFrame(asked, "k int, part long, before long, rank long")
+        rows = placed.select("*", part).join(F.broadcast(ranks.select("k", "part", "before").distinct()), ["k", "part"])
+        upto = rows.withColumn("upto", F.col("before") + F.sum("n").over(W.partitionBy("k", "part").orderBy("at")))
+        hit = upto.join(F.broadcast(ranks.select("k", "part", "rank")), ["k", "part"]).filter("rank >= upto - n AND rank < upto")
+        found = {(r["k"], r["rank"]): r["x"] for r in hit.select("k", "rank", "x").collect()}
+
+    def between(k: int, p: float) -> float | None:
+        if not totals[k]:
+            return None
+        x = at[k, p]
+        low, high = found[k, math.floor(x)], found[k, math.ceil(x)]
+        return low if low == high else (math.ceil(x) - x) * low + (x - math.floor(x)) * high
+
+    return {c: [between(k, p) for p in shares] for k, c in enumerate(columns)}
+
+
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """AGG5: a row for each numeric column, exact quartiles by linear interpolation."""
-    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("x")) for c in columns)))
-    q = lambda p: F.percentile("x", F.lit(p))
-    return df.select(pairs.alias("p")).select("p.*").groupBy("name").agg(
-        F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"),
-        q(0.25).alias("q25"), q(0.5).alias("q50"), q(0.75).alias("q75"), F.max("x").alias("max"),
-    )
+    """AGG5: a row for each numeric column, exact quartiles by linear interpolation; no row if the table has none."""
+    of = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    row = df.agg(F.count("*").alias("rows"), *(f(F.col(c).cast("double")).alias(f"{name}_{k}") for k, c in enumerate(columns) for name, f in of.items())).first()
+    quarters = quantiles(df, columns)
+    out = [(c, *(row[f"{x}_{k}"] for x in ("count", "mean", "std", "min")), *quarters[c], row[f"max_{k}"]) for k, c in enumerate(columns)] if row["rows"] else []
+    return df.sparkSession.createDataFrame(out, "name string, count long, mean double, std double, min double, q25 double, q50 double, q75 double, max double")
 
 
 def describe_objects(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -198,10 +231,10 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
 
 def box(df: DataFrame, column: str) -> DataFrame:
     """STA10: quartiles, whiskers at the outermost values within 1.5 interquartile ranges, number of outliers."""
-    q = df.agg(*(F.percentile(column, F.lit(p)).alias(n) for n, p in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75))))
+    q1, q2, q3 = (F.lit(q).cast("double") for q in quantiles(df, [column])[column])
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col(column).between(F.col("q1") - reach, F.col("q3") + reach)
-    return df.filter(F.col(column).isNotNull()).join(F.broadcast(q)).groupBy("q1", "q2", "q3").agg(
+    return df.filter(F.col(column).isNotNull()).select(column, q1.alias("q1"), q2.alias("q2"), q3.alias("q3")).groupBy("q1", "q2", "q3").agg(
         F.min(F.when(inside, F.col(column))).alias("low"), F.max(F.when(inside, F.col(column))).alias("high"), F.count_if(~inside).alias("n_outliers")
     )
 

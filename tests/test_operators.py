@@ -169,6 +169,18 @@ def test_tails_and_fisher():
     assert odds == 20 and math.isclose(p, 0.03496503496503495, rel_tol=1e-9)
 
 
+def test_quantiles_are_those_of_percentile_without_a_task_that_reads_all(spark):
+    df = spark.range(0, 4001, numPartitions=6).select(F.when(F.col("id") % 7 != 0, F.hash("id") / 3).alias("a"), (F.col("id") % 5).alias("b"), F.lit(None).cast("double").alias("c"))
+    shares = (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)
+    want = df.agg(*(F.percentile(c, F.lit(p)) for c in "abc" for p in shares)).first()
+    assert [x for c in "abc" for x in S.quantiles(df, list("abc"), shares)[c]] == list(want)
+    for plan in (S.describe(df, ["a", "b"]), S.box(df, "a")):
+        assert "percentile" not in plan._jdf.queryExecution().optimizedPlan().toString().lower()
+    r = S.describe(df, ["a", "c"]).collect()
+    assert [(x.name, x["count"]) for x in r] == [("a", 3429), ("c", 0)] and r[1].q50 is None
+    assert S.describe(df.limit(0), ["a"]).count() == 0 and S.box(df.limit(0), "a").count() == 0
+
+
 def whole_lowess(rows, share=2 / 3):
     """Every row against every other of its group."""
     out = []
