@@ -182,8 +182,8 @@ def aud2(spark, d):
 @query("aud3_audit", O.audit({"apostrophes": applied(STEPS["r02_apostrophes"]), "dashes": applied(STEPS["r03_dashes"]), "ordinals": applied(_ordinals), "months": applied(STEPS["r07_months"]), "references": applied(STEPS["r12_references"])}))
 def aud3(spark, d):
     t = F.col("text")
-    stages = F.array(*(F.struct(F.lit(name).alias("stage"), T.audit(t, f(t)).alias("a")) for name, f in T.CHAIN if name in ("apostrophes", "dashes", "ordinals", "months", "references")))
-    return noisy(spark, d).select(F.explode(stages).alias("s")).groupBy("s.stage").agg(F.sum("s.a.n_diff").alias("n_diff"), F.count_if(F.col("s.a.n_diff") > 0).alias("n_changed"), F.count_if(F.col("s.a.paragraphs_before") != F.col("s.a.paragraphs_after")).alias("n_broken"))
+    stages = F.array(*(F.struct(F.lit(name).alias("stage"), T.audit(t, f(t), F.col("n")).alias("a")) for name, f in T.CHAIN if name in ("apostrophes", "dashes", "ordinals", "months", "references")))
+    return noisy(spark, d).withColumn("n", T.paragraphs(t)).select(F.explode(stages).alias("s")).groupBy("s.stage").agg(F.sum("s.a.n_diff").alias("n_diff"), F.count_if(F.col("s.a.n_diff") > 0).alias("n_changed"), F.count_if(F.col("s.a.paragraphs_before") != F.col("s.a.paragraphs_after")).alias("n_broken"))
 
 
 # Lexicon and repair
