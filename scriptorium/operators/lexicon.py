@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from ..functions.text import LETTER
-from ..tables import Scratch
+from ..tables import Scratch, map_column
 
 FUNCTION_WORDS = "le la les du de des un une et ou au aux en dans par pour sur avec ce cet ces mon ton son mes tes ses nos vos".split()
 PUNCTUATION = ".,;:!?()[]{}«»\"‘’'`*_–—…/\\|@#$%^&+=<>~°•·"
@@ -45,28 +45,21 @@ def replaced(df: DataFrame, mapping: DataFrame, pattern: str, old: Column, key:
     tokens alone are joined (`old` is the key as a column of tok), and each text gets the part of the map that it needs.
     """
     regex = re.compile(pattern, re.ASCII)
-    pairs = mapping.select("old", "new").dropDuplicates(["old"])
+    scratch = Scratch(df.sparkSession, "replaced")
+    pairs = scratch.save(mapping.select("old", "new").dropDuplicates(["old"]))
 
     def rewrite(text: str | None, known: dict[str, str]) -> str | None:
         return None if text is None else regex.sub(lambda m: put(m[0], k, known[k]) if (k := key(m[0])) in known else m[0], text)
 
-    if pairs.limit(MAP_ROWS + 1).count() <= MAP_ROWS:
+    if pairs.count() <= MAP_ROWS:
         held = df.sparkSession.sparkContext.broadcast({r["old"]: r["new"] for r in pairs.toLocalIterator()})
-
-        @F.pandas_udf("string")
-        def small(texts: pd.Series) -> pd.Series:
-            return texts.map(lambda t: rewrite(t, held.value), na_action="ignore")
-
-        return df.withColumn("text", small("text"))
-
-    @F.pandas_udf("string")
-    def large(texts: pd.Series, olds: pd.Series, news: pd.Series) -> pd.Series:
-        return pd.Series([rewrite(t, {} if o is None else dict(zip(o, n, strict=True))) for t, o, n in zip(texts, olds, news, strict=True)], dtype=object)
+        return map_column(df, "text", lambda text: rewrite(text, held.value))
 
     digest = F.xxhash64("text")
     asked = df.select(digest.alias("_digest"), F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))).alias("tok")).distinct()
     found = asked.join(pairs, old == F.col("old")).groupBy("_digest").agg(F.collect_list("old").alias("_olds"), F.collect_list("new").alias("_news"))
-    return df.join(found, digest == F.col("_digest"), "left").withColumn("text", large("text", "_olds", "_news")).drop("_digest", "_olds", "_news")
+    joined = df.join(found, digest == F.col("_digest"), "left").drop("_digest")
+    return map_column(joined, "text", lambda text, o, n: rewrite(text, {} if o is None else dict(zip(o, n, strict=True))), "_olds", "_news").drop("_olds", "_news")
 
 
 def derive(df: DataFrame, least_documents: int) -> DataFrame:
@@ -87,8 +80,10 @@ def known(words: DataFrame, lexicon: DataFrame, column: str) -> DataFrame:
 
 def commas(df: DataFrame, lexicon: DataFrame) -> DataFrame:
     """R10: a blank after a comma between two known words that aren't both of at most two letters. Only pairs around commas leave the texts."""
-    pattern = f"{LETTER}+,{LETTER}+"
-    pairs = df.select(F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("tok")).distinct()
+    pattern = f"(?<!{LETTER}){LETTER}++,{LETTER}++"
+    near = df.filter(F.col("text").rlike(f",(?<={LETTER},)(?={LETTER})"))
+    pairs = near.select(F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("tok")).distinct()
+    pairs = Scratch(df.sparkSession, "commas").save(pairs)
     pairs = pairs.withColumns({"a": F.substring_index("tok", ",", 1), "b": F.substring_index("tok", ",", -1)})
     pairs = known(known(pairs, lexicon, "a").withColumnRenamed("known", "ka"), lexicon, "b")
     fixed = pairs.filter("ka AND known AND NOT (length(a) <= 2 AND length(b) <= 2)").select(F.col("tok").alias("old"), F.concat("a", F.lit(", "), "b").alias("new"))
@@ -100,14 +95,16 @@ def splits(words: DataFrame, lexicon: DataFrame, blacklist: list[str] | None = N
 
     Longest function-word prefixes come first, then cuts from left to right; at most `most` for each word.
     """
-    words = known(words.select(F.lower("word").alias("word")).distinct(), lexicon, "word").filter("NOT known AND length(word) >= 5").select("word")
+    scratch = Scratch(words.sparkSession, "splits")
+    words = scratch.save(words.select(F.lower("word").alias("word")).distinct().filter("length(word) >= 5"))
+    words = known(words, lexicon, "word").filter("NOT known").select("word")
     if blacklist:
         words = words.filter(~F.col("word").isin(blacklist))
     cut = words.withColumn("cut", F.explode(F.sequence(F.lit(1), F.length("word") - 1)))
     cut = cut.withColumns({"first": F.expr("substring(word, 1, cut)"), "rest": F.expr("substring(word, cut + 1)")})
     prefix = F.col("first").isin(FUNCTION_WORDS)
     inner = (F.col("cut") >= 3) & (F.col("cut") <= F.length("word") - 3) & ~prefix
-    cut = known(cut.filter(prefix | inner), lexicon, "rest").filter("known").drop("known")
+    cut = scratch.save(known(scratch.save(cut.filter(prefix | inner)), lexicon, "rest").filter("known").drop("known"))
     cut = known(cut, lexicon, "first").filter(prefix | F.col("known")).drop("known")
     order = W.partitionBy("word").orderBy(prefix.desc(), F.when(prefix, -F.col("cut")).otherwise(F.col("cut")))
     return cut.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most).select("word", "first", "rest", "place")

@@ -1,10 +1,14 @@
 import math
 import random
+import re
 import time
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from scriptorium import tables
+from scriptorium.functions import text as T
 from scriptorium.tables import Scratch
 from scriptorium.operators import entities as E
 from scriptorium.operators import lexicon as L
@@ -91,6 +95,86 @@ def test_tokens_are_lossless(spark):
     assert {r.doc_id: r.text for r in L.rebuild(L.tokens(df)).collect()} == {1: " a  b\nc ", 2: "x"}
 
 
+def test_replaced_holds_a_slice_of_a_batch_and_keeps_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(tables, "SLICE_BYTES", 20)
+    schema = pa.schema([("k", pa.int64()), ("text", pa.string())])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["a" * 9, None, "b" * 9, "c" * 50, "d" * 15, "e" * 15])], schema=schema)
+    assert [p.column("k").to_pylist() for p in tables.parts(batch, "text")] == [[0, 1, 2], [3], [4], [5]]
+    assert [p.num_rows for p in tables.parts(batch.slice(0, 0), "text")] == []
+    df = spark.createDataFrame([(k, f"The cat {k}" if k % 3 else None, [k]) for k in range(50)], "doc_id long, text string, other array<long>")
+    mapping = spark.createDataFrame([("the", "THE")], "old string, new string")
+    want = {(k, f"THE cat {k}" if k % 3 else None, (k,)) for k in range(50)}
+    done = L.apply_map(df, mapping)
+    assert "MapInArrow" in done._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.doc_id, r.text, tuple(r.other)) for r in done.collect()} == want and done.schema == df.schema
+    monkeypatch.setattr(L, "MAP_ROWS", 0)
+    assert {(r.doc_id, r.text, tuple(r.other)) for r in L.apply_map(df, mapping).collect()} == want
+
+
+def test_map_is_computed_once(spark):
+    read, count = read_once(spark, ["the", "cat"])
+    df = spark.createDataFrame([(1, "the cat")], "doc_id long, text string")
+    L.apply_map(df, read.select(F.col("text").alias("old"), F.upper("text").alias("new"))).collect()
+    assert count() == 2
+
+
+def test_splits_are_proposed_from_one_reading(spark, tmp_path):
+    text = "ledroit droit international le droitinternational maison"
+    spark.createDataFrame([(k, text if k == 0 else "droit international le maison", "fr") for k in range(6)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    plan = QUERIES["lex4_proposals"](spark, str(tmp_path))
+    assert "documents.parquet" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in plan.collect()} == {("ledroit", "le droit"), ("droitinternational", "droit international")}
+
+
+def test_commas_between_runs_of_letters(spark):
+    rows = ["a,bc,de", "xx,membres,les,les", "les,membres", "é,les membres,", ",les", "les,membres,5les,les"]
+    got = {r.text for r in L.commas(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), lexicon(spark, "membres", "les")).collect()}
+    assert got == {"a,bc,de", "xx,membres,les, les", "les, membres", "é,les membres,", ",les", "les, membres,5les, les"}
+
+
+def test_tree_reads_its_rows_once(spark):
+    df, count = read_once(spark, [str(k) for k in range(200)])
+    rows = df.select("doc_id", F.col("doc_id").cast("int").alias("n"), (F.col("doc_id") > 100).cast("int").alias("y"))
+    _, accuracy = S.decision_tree(rows, ["n"], "y", "doc_id")
+    assert accuracy > 0.9 and count() == 200
+
+
+def old_toc_start(text):
+    rows = re.split(T.LINE_ENDS, re.sub(f"(?:{T.LINE_ENDS})\\Z", "", text))
+    for k, x in enumerate(rows):
+        ahead = [y.strip(" ") for y in rows[k + 1 : k + 6] if y.strip(" ")]
+        if re.search("^-{20,}$", x) and ahead and re.search("(?i)^TABLE DES MATI", ahead[0]):
+            return k
+    return None
+
+
+def test_table_of_contents_is_found_without_a_row_for_each_line(spark):
+    rnd, rule = random.Random(4), "-" * 20
+    bits = [rule, rule + "-", "-" * 19, "TABLE DES MATIÈRES.", " table des mati", "x TABLE DES MATI", "TABLE DES", "MATI", "", "  ", "text", "I. — Statuts ..... 7"]
+    texts = ["".join(rnd.choice(bits) + rnd.choice(["\n", "\n", "\r\n", "\r", "\u2028"]) for _ in range(rnd.randrange(12))) for _ in range(4000)] + [rule + "\n\n\n\n\nTABLE DES MATI", rule + "\n\n\n\n\n\nTABLE DES MATI"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {k: at for k, t in enumerate(texts) if (at := old_toc_start(t)) is not None}
+    assert {r.doc_id: r.start for r in X.toc_start(df).collect()} == want and len(want) > 100
+    plan = X.clean_toc(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Generate") == 1
+    got = {}
+    for r in X.clean_toc(df).collect():
+        assert r.pos >= want[r.doc_id]
+        got.setdefault(r.doc_id, []).append(r.line)
+    assert got
+
+
+def test_only_the_table_goes_to_the_workers(spark):
+    bits = ["TABLE DES MATIÈRES.", "Table\u00a0des  matières", "TABLE\nDES MATI", "TABLE DES", "I. — Statuts ..... 7", "Notice sur la", "vie ..... 9", "Première Partie.", "12", "", "pages."]
+    rnd = random.Random(6)
+    texts = [None, *("".join(rnd.choice(bits) + rnd.choice(["\n", "\n", "\r\n", " ", "\x1c"]) for _ in range(rnd.randrange(12))) for _ in range(3000))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    want = {(k, n, *e) for k, t in enumerate(texts) for n, e in enumerate(X.toc_entries(t))}
+    found = X.toc(df)
+    assert {tuple(r) for r in found.collect()} == want and len(want) > 1000
+    assert "regexp_extract" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_table_of_contents():
     text = "x\nTABLE DES MATIÈRES.\nPages.\nPremière Partie.\nI. — Statuts ..... 7\nNotice sur la\nvie ..... 9\n"
     assert X.toc_entries(text) == [("Première Partie. I. — Statuts", 7, 1), ("Notice sur la vie", 9, 2)]
