@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import re
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import LINE_ENDS, MONTHS
+from ..tables import parts
 
 UP, LOW = "A-ZÀÉÈÊÎÏÙÛÜŒÆ", "a-zàéèêîïùûü"
 ORDER = "(?:Premi[eè]re?|Deuxi[eè]me?|Troisi[eè]me?|Quatri[eè]me?|Cinqui[eè]me?"
@@ -105,16 +108,27 @@ def toc_entries(text: str | None) -> list[tuple[str, int, int]]:
     return out
 
 
+#: The heading as a worker finds it, or what runs over a line's end: nothing before the first such place can be in the table.
+TOC_ON = "(?isU)TABLE[\\s\\x1C-\\x1F]+DES[\\s\\x1C-\\x1F]+MATI.*"
+
+
 def toc(df: DataFrame) -> DataFrame:
-    """STR3: (doc_id, n, title, page, level); the state machine runs once a document, in Arrow batches."""
-    import pandas as pd
+    """STR3: (doc_id, n, title, page, level); the state machine runs once a document, in Arrow batches. Only what follows the heading
+    goes to the workers, a slice of rows at a time."""
+    fields = [pa.field("n", pa.int32()), pa.field("title", pa.string()), pa.field("page", pa.int32()), pa.field("level", pa.int32())]
 
-    @F.pandas_udf("array<struct<title:string,page:int,level:int>>")
-    def entries(s):
-        return pd.Series([[{"title": t, "page": p, "level": v} for t, p, v in toc_entries(x)] for x in s])
+    def run(batches):
+        for batch in batches:
+            for part in parts(batch, "text"):
+                rows = [(k, n, *e) for k, x in enumerate(part.column("text").to_pylist()) for n, e in enumerate(toc_entries(x))]
+                at, *columns = zip(*rows, strict=True) if rows else [()] * 5
+                ids = part.column("doc_id").take(pa.array(at, pa.int64()))
+                columns = [pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)]
+                yield pa.RecordBatch.from_arrays([ids, *columns], schema=pa.schema([part.schema.field("doc_id"), *fields]))
 
-    found = df.select("doc_id", F.posexplode(entries("text")).alias("n", "e"))
-    return found.select("doc_id", "n", "e.title", "e.page", "e.level")
+    near = df.select("doc_id", F.regexp_extract("text", TOC_ON, 0).alias("text")).filter("text <> ''")
+    entry = (T.StructField("n", T.IntegerType()), T.StructField("title", T.StringType()), T.StructField("page", T.IntegerType()), T.StructField("level", T.IntegerType()))
+    return near.mapInArrow(run, T.StructType([df.schema["doc_id"], *entry]))
 
 
 def sections(pages: DataFrame, toc: DataFrame, end_inclusive: bool = False) -> DataFrame:
@@ -146,12 +160,20 @@ def islands(rows: DataFrame, by: str, order: str, value: str, legacy: bool = Fal
     return out
 
 
+END_OF_LINE = "[\\n\\r\\x0B\\x0C\\x1C-\\x1E\\x85\\u2028\\u2029]"
+TOC_FROM = f"(?s)(?:\\A|(?<={END_OF_LINE}))-{{20,}}(?:{LINE_ENDS})(?: *(?:{LINE_ENDS})){{0,4}}+ *+(?i:TABLE DES MATI).*"
+
+
+def toc_part(df: DataFrame) -> DataFrame:
+    """(doc_id, start, text): the text from the first separator whose first non-blank line within five opens the table of contents, and the number of its first line."""
+    rest = df.select("doc_id", "text", F.regexp_extract("text", TOC_FROM, 0).alias("_rest")).filter("_rest <> ''")
+    before = F.left("text", F.length("text") - F.length("_rest"))
+    return rest.select("doc_id", F.regexp_count(before, F.lit(LINE_ENDS)).alias("start"), F.col("_rest").alias("text"))
+
+
 def toc_start(df: DataFrame) -> DataFrame:
-    """TOC1: the first separator whose first non-blank line within five opens the table of contents."""
-    ahead = W.partitionBy("doc_id").orderBy("pos").rowsBetween(1, 5)
-    bare = F.when(F.trim("line") != "", F.trim("line"))
-    near = lines(df).withColumn("next", F.first(bare, ignorenulls=True).over(ahead))
-    return near.filter(F.col("line").rlike(SEPARATOR) & F.col("next").rlike("(?i)^TABLE DES MATI")).groupBy("doc_id").agg(F.min("pos").alias("start"))
+    """TOC1: the line of the first separator whose first non-blank line within five opens the table of contents."""
+    return toc_part(df).groupBy("doc_id").agg(F.min("start").alias("start"))
 
 
 def parasitic(line: Column) -> Column:
@@ -171,7 +193,9 @@ def inner_spaces(line: Column) -> Column:
 
 def clean_toc(df: DataFrame) -> DataFrame:
     """TOC4: lines from the table's start without parasites and short lines, at most one blank in a row, no blank ends."""
-    rows = lines(df).join(toc_start(df), "doc_id").filter("pos >= start").filter(~parasitic(F.col("line")))
+    split = F.split(F.regexp_replace("text", f"(?:{LINE_ENDS})\\z", ""), LINE_ENDS)
+    rows = toc_part(df).select("doc_id", "start", F.posexplode(split).alias("at", "line")).select("doc_id", (F.col("start") + F.col("at")).alias("pos"), "line")
+    rows = rows.filter(~parasitic(F.col("line")))
     rows = rows.withColumn("line", inner_spaces(F.col("line"))).withColumn("blank", F.trim("line") == "")
     rows = rows.withColumn("before", F.lag("blank", 1, True).over(W.partitionBy("doc_id").orderBy("pos"))).filter("NOT (blank AND before)")
     rows = rows.filter("blank OR length(trim(line)) >= 2")
