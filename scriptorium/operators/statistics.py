@@ -330,6 +330,7 @@ def decision_tree(df: DataFrame, features: list[str], label: str, key: str, dept
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from pyspark.ml.feature import VectorAssembler
 
+    df = Scratch(df.sparkSession, "tree").save(df.select(key, *features, label))  # fitting reads its rows many times
     rows = VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="skip").transform(split(df, key).withColumn("_y", F.col(label).cast("double")))
     model = DecisionTreeClassifier(featuresCol="_x", labelCol="_y", maxDepth=depth, seed=42).fit(rows.filter("in_training"))
     score = MulticlassClassificationEvaluator(labelCol="_y", metricName="accuracy").evaluate(model.transform(rows.filter("NOT in_training")))
